@@ -44,40 +44,36 @@ def merge_change_images(
         header_fields = header_fields.split(",")
     if trim:
         header_fields = [f.strip() for f in header_fields]
-    work = df.withColumn("_rv_doc", F.from_json(F.col(source), "variant").try_cast(OBJECT))
+    header_fields = [f for f in dict.fromkeys(header_fields) if f not in ("primary_keys", "before", "after")]
+    # Maps keep the key order of the text; a variant member is null when absent, a JSON null when explicit.
+    members = [f"`{f}` variant" for f in dict.fromkeys(["table", "op_type", *header_fields])]
+    parsed = F.from_json(F.col(source), ", ".join([*members, f"before {OBJECT}", f"after {OBJECT}"]))
+    work = df.withColumn("_rv_doc", parsed)
     doc = F.col("_rv_doc")
-
-    def member(name: str) -> Column:
-        return F.try_element_at(doc, F.lit(name))
-
-    table = apply_case(override_schema(member("table").try_cast("string"), target_schema), case)
+    table = apply_case(override_schema(doc["table"].try_cast("string"), target_schema), case)
     nothing = F.create_map().cast(OBJECT)
     parts = []
     for field in header_fields:
-        if field in ("primary_keys", "before", "after"):
-            continue
-        value = table.cast("variant") if field == "table" else member(field)
-        entry = F.create_map(F.lit(apply_case_text(field, case)), value)
-        usable = F.map_contains_key(doc, field) & ~is_nested(member(field))
-        parts.append(F.when(usable, entry).otherwise(nothing))
+        member = doc.getField(field)
+        entry = F.create_map(F.lit(apply_case_text(field, case)), table.cast("variant") if field == "table" else member)
+        parts.append(F.when(member.isNotNull() & ~is_nested(member), entry).otherwise(nothing))
     for image in ("before", "after"):
-        values = F.coalesce(member(image).try_cast(OBJECT), nothing)
+        values = F.coalesce(doc[image], nothing)
         parts.append(F.transform_keys(values, lambda k, v: apply_case(k, case)) if case.lower() != "none" else values)
     for name, value in constant_columns(df, constants or {}).items():
         parts.append(F.create_map(F.lit(name), value.cast("string").cast("variant")))
     work = work.withColumns(
         {
             "_rv_merged": F.map_concat(*parts),
-            "_rv_op": member("op_type").try_cast("string"),
-            "_rv_table": member("table").try_cast("string"),
+            "_rv_op": doc["op_type"].try_cast("string"),
+            "_rv_table": doc["table"].try_cast("string"),
         }
     )
     merged = F.col("_rv_merged")
     names = F.array_sort(F.map_keys(merged))
     ordered = F.map_from_arrays(names, F.transform(names, lambda k: F.try_element_at(merged, k)))
     reason = (
-        F.when(doc.isNull(), F.lit("the text is not a JSON object"))
-        .when(F.col("_rv_op").isNull(), F.lit("the change has no op_type"))
+        F.when(F.col("_rv_op").isNull(), F.lit("the text is not a change record with an op_type"))
         .when(F.col("_rv_op").isin(INSERT, UPDATE, DELETE) & F.col("_rv_table").isNull(), F.lit("the change has no table"))
     )
     route = (

@@ -18,6 +18,7 @@ def build_session(app_name: str = "rivulet", master: str | None = None, **conf:
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app_name)

@@ -22,20 +22,32 @@ def _normal(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, r"^[a-zA-Z0-9]+:/*(?=/)", ""), r"/+$", "")
 
 
+def _full_path() -> Column:
+    return F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _base_name() -> Column:
+    return F.regexp_extract(_full_path(), r"[^/]*$", 0)
+
+
+def _location() -> list[Column]:
+    """``path`` and ``source_file`` from the reader's metadata, whose paths are URL-encoded."""
+    full = _full_path()
+    return [_normal(F.regexp_replace(full, r"/[^/]*$", "")).alias("path"), full.alias("source_file")]
+
+
 def read_files(spark: SparkSession, directories: list[str], as_binary: bool = False) -> DataFrame:
     """One row per file directly inside the directories: ``path``, ``filename``, ``source_file``, ``content``."""
     if as_binary:
         files = spark.read.format("binaryFile").load(directories).select("content", "_metadata.*")
-        name = F.col("file_name")
+        name = _base_name()
     else:
-        files = spark.read.option("wholetext", True).text(directories).select(F.col("value").alias("content"), "_metadata.*")
-        name = _plain_name(F.col("file_name"))
-    folder = F.regexp_replace(F.col("file_path"), r"/[^/]*$", "")
+        files = spark.read.text(directories, wholetext=True).select(F.col("value").alias("content"), "_metadata.*")
+        name = _plain_name(_base_name())
     return files.select(
-        _normal(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))).alias("path"),
+        *_location(),
         name.alias("filename"),
-        F.col("file_name").alias("_rv_file"),
-        F.col("file_path").alias("source_file"),
+        _base_name().alias("_rv_file"),
         "content",
     )
 
@@ -86,19 +98,18 @@ def stream_files(
     spark: SparkSession, directory: str, *, regex: str | None = None, keep_source: bool = True, archive: str | None = None
 ) -> DataFrame:
     """The same rows as a stream of newly arriving files; ``keep_source=False`` deletes files once processed."""
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     elif not keep_source:
         reader = reader.option("cleanSource", "delete")
-    files = reader.text(directory).select(F.col("value").alias("content"), "_metadata.file_path", "_metadata.file_name")
+    files = reader.text(directory, wholetext=True).select(F.col("value").alias("content"), "_metadata.file_path")
     if regex:
-        files = files.filter(F.col("file_name").rlike(f"^(?:{regex})$"))
+        files = files.filter(_base_name().rlike(f"^(?:{regex})$"))
     return with_route(
         files.select(
-            _normal(F.regexp_replace("file_path", r"/[^/]*$", "")).alias("path"),
-            _plain_name(F.col("file_name")).alias("filename"),
-            F.col("file_path").alias("source_file"),
+            *_location(),
+            _plain_name(_base_name()).alias("filename"),
             "content",
         ),
         "success",

@@ -163,6 +163,14 @@ def run_sql_script(
     return spark.createDataFrame(report, "stmt_no int, statement string, status string, failure_reason string")
 
 
+def _truncate(spark: SparkSession, name: str) -> None:
+    if spark.catalog.getTable(name).tableType == "EXTERNAL":
+        # TRUNCATE refuses tables with a location of their own; overwriting with nothing empties them.
+        spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
+    else:
+        spark.sql(f"TRUNCATE TABLE {name}")
+
+
 def truncate_tables(spark: SparkSession, names: str | Sequence[str]) -> DataFrame:
     """Empty each table of the list, stopping at the first error; reports one row per table."""
     names = names.split(",") if isinstance(names, str) else list(names)
@@ -172,7 +180,7 @@ def truncate_tables(spark: SparkSession, names: str | Sequence[str]) -> DataFram
             report.append((name, "not run", None))
             continue
         try:
-            spark.sql(f"TRUNCATE TABLE {name}")
+            _truncate(spark, name)
             report.append((name, "success", None))
         except PySparkException as error:
             report.append((name, "failure", str(error)))
