@@ -69,9 +69,6 @@ def merge_change_images(
             "_rv_table": doc["table"].try_cast("string"),
         }
     )
-    merged = F.col("_rv_merged")
-    names = F.array_sort(F.map_keys(merged))
-    ordered = F.map_from_arrays(names, F.transform(names, lambda k: F.try_element_at(merged, k)))
     reason = (
         F.when(F.col("_rv_op").isNull(), F.lit("the text is not a change record with an op_type"))
         .when(F.col("_rv_op").isin(INSERT, UPDATE, DELETE) & F.col("_rv_table").isNull(), F.lit("the change has no table"))
@@ -83,7 +80,8 @@ def merge_change_images(
     )
     out = with_route(work, route, reason)
     kept = F.col(into) if into in df.columns else F.lit(None).cast("string")
-    text = F.to_json(ordered, {"ignoreNullFields": "false"})
+    # A variant object holds its fields sorted by name.
+    text = F.to_json(F.to_variant_object("_rv_merged"))
     out = out.withColumn(into, F.when(F.col("route") == "success", text).otherwise(kept))
     return out.drop("_rv_doc", "_rv_merged", "_rv_op", "_rv_table")
 
@@ -111,13 +109,12 @@ def changes_to_sql(
         keys = F.array(*[F.lit(k) for k in given])
     else:
         keys = F.coalesce(F.col("_rv_c.primary_keys"), F.array().cast("array<string>"))
-    work = work.withColumn("_rv_keys", keys)
+    work = work.withColumns({"_rv_keys": keys, "_rv_bare": F.regexp_replace("_rv_table", r"^[^.]*\.", "")})
     keys, before, after, op = F.col("_rv_keys"), F.col("_rv_before"), F.col("_rv_after"), F.col("_rv_op_type")
-    bare_table = F.regexp_replace("_rv_table", r"^[^.]*\.", "")
     table = apply_case(override_schema(F.col("_rv_table"), target_schema), case)
 
     def target(name: Column) -> Column:
-        return map_column_name_expr(bare_table, name, column_map or {}, case)
+        return map_column_name_expr(F.col("_rv_bare"), name, column_map or {}, case)
 
     cells = F.map_entries(after)
     insert = F.concat(
@@ -129,7 +126,9 @@ def changes_to_sql(
         F.array_join(F.transform(cells, lambda e: sql_literal(e["value"])), ", "),
         F.lit(")"),
     )
-    changed = F.filter(cells, lambda e: ~F.array_contains(keys, e["key"]))
+    changed = F.map_entries(F.map_filter(after, lambda k, v: ~F.array_contains(keys, k)))
+    work = work.withColumn("_rv_changed", F.when(op == UPDATE, changed))
+    changed = F.col("_rv_changed")
     assignments = F.transform(changed, lambda e: F.concat(target(e["key"]), F.lit(" = "), sql_literal(e["value"])))
 
     def condition(name: Column) -> Column:

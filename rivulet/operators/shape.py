@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,7 +141,7 @@ def attributes_to_json(
         parts.append(F.create_map(F.lit(name), F.try_element_at(source, F.lit(name))))
     for name, value in constants(df, constants_ or {}, source).items():
         parts.append(F.create_map(F.lit(name), value))
-    merged = F.map_from_entries(F.array_sort(F.map_entries(F.map_concat(*parts))))
+    merged = F.map_from_entries(F.sort_array(F.map_entries(F.map_concat(*parts))))
     return with_route(df.withColumn(into, F.to_json(merged, {"ignoreNullFields": "false"})), "success")
 
 
@@ -186,86 +186,102 @@ def json_to_columns(
         raise ValueError("fragments must be always, never or arrays")
     last_key_wins(df)
     rename = dict(rename or {})
-    parsed = df.withColumn("_rv_json", F.from_json(F.col(source), "variant", LAX_JSON if lax else {}))
-    elements = F.col("_rv_json").try_cast("array<variant>")
-    parsed = parsed.withColumns({"_rv_list": elements, "_rv_one": F.col("_rv_json").try_cast(OBJECT)})
-    is_array = F.col("_rv_list").isNotNull()
-
+    work = df.withColumn("_rv_json", F.from_json(F.col(source), "variant", LAX_JSON if lax else {}))
+    work = work.withColumn("_rv_list", F.col("_rv_json").try_cast("array<variant>"))
+    json, elements = F.col("_rv_json"), F.col("_rv_list")
+    is_array = elements.isNotNull()
     if fields:
-        build = lambda element, obj: _typed_record(element, obj, fields, add_nulls)
+        # The objects stay variants; each declared field is then one path into them.
+        listed = F.filter(elements, lambda e: e.try_cast(OBJECT).isNotNull())
+        alone = F.when(json.try_cast(OBJECT).isNotNull(), F.array(json))
     else:
-        build = lambda element, obj: _text_record(obj, rename, prefix, add_nulls, always_add)
-    from_list = F.filter(
-        F.transform(F.col("_rv_list"), lambda e: F.struct(e.alias("e"), e.try_cast(OBJECT).alias("o"))),
-        lambda s: s["o"].isNotNull(),
-    )
-    from_one = F.array(F.struct(F.col("_rv_json").alias("e"), F.col("_rv_one").alias("o")))
-    parsed = parsed.withColumn(
-        "_rv_records", F.when(is_array, from_list).when(F.col("_rv_one").isNotNull(), from_one)
-    )
-    parsed = parsed.withColumns(
+        listed = F.filter(F.transform(elements, lambda e: e.try_cast(OBJECT)), lambda m: m.isNotNull())
+        # A scalar casts to null, which the filter then takes out.
+        one = F.array_compact(F.array(json.try_cast(OBJECT)))
+        alone = F.when(F.size(one) == 1, one)
+    work = work.withColumns(
         {
-            "_rv_reason": F.when(F.col("_rv_json").isNull(), F.lit("the text is not valid JSON")).when(
-                F.col("_rv_records").isNull(), F.lit("the JSON is not an array or an object")
-            ),
+            "_rv_records": F.when(is_array, listed).otherwise(alone),
             "_rv_array": is_array,
-            "_rv_id": F.uuid(),
+            "_rv_valid": json.isNotNull(),
         }
+    ).drop("_rv_json", "_rv_list")
+    reason = F.when(~F.col("_rv_valid"), F.lit("the text is not valid JSON")).when(
+        F.col("_rv_records").isNull(), F.lit("the JSON is not an array or an object")
     )
-    record_type = _record_type(fields)
-    empty = F.lit(None).cast(record_type)
-    children = F.transform(
-        F.col("_rv_records"),
-        lambda s, i: F.struct(
-            F.lit("success").alias("route"),
-            build(s["e"], s["o"]).cast(record_type).alias("record"),
-            (i + 1).cast("bigint").alias("position"),
-        ),
-    )
-    nothing = F.array().cast(f"array<struct<route:string,record:{record_type},position:bigint>>")
-    tail_route = F.when(F.col("_rv_reason").isNotNull(), F.lit("failure")).otherwise(F.lit("original"))
-    tail = F.array(
-        F.struct(tail_route.alias("route"), empty.alias("record"), F.lit(None).cast("bigint").alias("position"))
+    return one_row_per_record(
+        df,
+        work.withColumn("_rv_reason", reason),
+        lambda record: _record_columns(record, fields, rename, prefix, add_nulls, always_add, into),
+        {"always": F.lit(True), "never": F.lit(False), "arrays": F.col("_rv_array")}[fragments],
+        emit_original,
     )
+
+
+def one_row_per_record(
+    df: DataFrame,
+    work: DataFrame,
+    build: Callable[[Column], dict[str, Column]],
+    numbered_row: Column,
+    emit_original: bool,
+) -> DataFrame:
+    """Spread the array ``_rv_records`` over rows, followed by the original row (or the failed one).
+
+    Records are never null, so a null element stands for that last row; ``_rv_reason`` tells a failure.
+    """
+    records, reason = F.col("_rv_records"), F.col("_rv_reason")
+    last_row = F.array(F.lit(None).cast(work.schema["_rv_records"].dataType.elementType))
+    good = F.coalesce(records, F.slice(last_row, 1, 0))
+    if emit_original:
+        rows = F.concat(good, last_row)
+    else:
+        rows = F.when(reason.isNotNull(), last_row).otherwise(good)
+    work = work.withColumns({"_rv_id": F.uuid(), "_rv_total": F.size(good), "_rv_rows": rows}).drop("_rv_records")
+    names = [c for c in work.columns if c != "_rv_rows"]
+    # The outer form: for the inner one Spark would first filter on the array's size, parsing each text twice.
+    work = work.select(*[quoted(c) for c in names], F.posexplode_outer("_rv_rows").alias("_rv_at", "_rv_record"))
     if not emit_original:
-        tail = F.when(F.col("_rv_reason").isNotNull(), tail).otherwise(nothing)
-    rows = parsed.withColumn("_rv_total", F.size(F.coalesce(F.col("_rv_records"), F.array()))).withColumn(
-        "_rv_row", F.explode(F.concat(F.coalesce(children, nothing), tail))
+        work = work.filter(F.col("_rv_at").isNotNull())
+    is_record = F.col("_rv_record").isNotNull()
+    added = build(F.col("_rv_record"))
+    added.update(
+        fragment_values(is_record & numbered_row, F.col("_rv_id"), F.col("_rv_at") + 1, F.col("_rv_total"))
     )
-    good = F.col("_rv_row.route") == "success"
-    numbered_row = good if fragments == "always" else good & F.col("_rv_array") if fragments == "arrays" else F.lit(False)
-    added: dict[str, Column] = {}
-    if fields:
-        for name in fields:
-            target = prefix + rename.get(name, name)
-            added[target] = F.col("_rv_row.record").getField(name)
-    else:
-        added[into] = F.col("_rv_row.record")
-    added.update(fragment_values(numbered_row, F.col("_rv_id"), F.col("_rv_row.position"), F.col("_rv_total")))
     if "content" in df.columns:
-        added["content"] = F.when(~good, F.col("content"))
-    out = with_route(rows.withColumns(added), F.col("_rv_row.route"), F.col("_rv_reason"))
+        added["content"] = F.when(~is_record, F.col("content"))
+    other = F.when(reason.isNotNull(), F.lit("failure")).otherwise(F.lit("original"))
+    out = with_route(work.withColumns(added), F.when(is_record, F.lit("success")).otherwise(other), reason)
     return out.drop(*[c for c in out.columns if c.startswith("_rv_")])
 
 
+def _record_columns(
+    record: Column,
+    fields: Mapping[str, str] | None,
+    rename: Mapping[str, str],
+    prefix: str,
+    add_nulls: bool,
+    always_add: bool,
+    into: str,
+) -> dict[str, Column]:
+    if not fields:
+        return {into: _text_record(record, rename, prefix, add_nulls, always_add)}
+    return {
+        prefix + rename.get(name, name): _typed_field(record, name, kind, add_nulls) for name, kind in fields.items()
+    }
+
+
 def fragment_values(when: Column, identifier: Column, index: Column, count: Column) -> dict[str, Column]:
     """The four fragment columns, null on rows that are no fragments."""
     values = (identifier, index.cast("bigint"), count.cast("bigint"), F.lit("0"))
     return {name: F.when(when, value) for name, value in zip(FRAGMENT_COLUMNS, values)}
 
 
-def _record_type(fields: Mapping[str, str] | None) -> str:
-    if not fields:
-        return "map<string,string>"
-    return "struct<" + ",".join(f"`{name}`:{kind}" for name, kind in fields.items()) + ">"
-
-
 def _text_record(obj: Column, rename: Mapping[str, str], prefix: str, add_nulls: bool, always_add: bool) -> Column:
     leaves = F.map_filter(obj, lambda k, v: ~is_nested(v))
-    text = F.transform_values(leaves, lambda k, v: v.try_cast("string"))
     if add_nulls:
-        text = F.transform_values(text, lambda k, v: F.coalesce(v, F.lit("")))
+        text = F.transform_values(leaves, lambda k, v: F.coalesce(v.try_cast("string"), F.lit("")))
     else:
+        text = F.transform_values(leaves, lambda k, v: v.try_cast("string"))
         text = F.map_filter(text, lambda k, v: v.isNotNull())
     if rename or prefix:
         text = F.transform_keys(text, lambda k, v: F.concat(F.lit(prefix), renamed(k, rename)))
@@ -285,17 +301,15 @@ def renamed(name: Column, rename: Mapping[str, str]) -> Column:
     return name
 
 
-def _typed_record(element: Column, obj: Column, fields: Mapping[str, str], add_nulls: bool) -> Column:
-    values = []
-    for name, kind in fields.items():
-        value = F.try_variant_get(element, F.lit(variant_path(name)), kind)
-        if kind.lower() == "string":
-            child = F.try_variant_get(element, F.lit(variant_path(name)), "variant")
-            value = F.when(~is_nested(child), value)
-            if add_nulls:
-                value = F.when(F.is_variant_null(child), F.lit("")).otherwise(value)
-        values.append(value.alias(name))
-    return F.struct(*values)
+def _typed_field(element: Column, name: str, kind: str, add_nulls: bool) -> Column:
+    value = F.try_variant_get(element, F.lit(variant_path(name)), kind)
+    if kind.lower() != "string":
+        return value
+    child = F.try_variant_get(element, F.lit(variant_path(name)), "variant")
+    value = F.when(~is_nested(child), value)
+    if add_nulls:
+        value = F.when(F.is_variant_null(child), F.lit("")).otherwise(value)
+    return value
 
 
 def promote(df: DataFrame, names: Iterable[str], source: str = "attributes") -> DataFrame:

@@ -126,7 +126,7 @@ def hold_release(
 
     A hold passes (``success``) when nothing is held; otherwise it is a ``duplicate`` if its duplicate value
     equals the held one, else ``busy``. A release is ``success``, or ``missing`` when nothing is held.
-    ``initial_holds`` and the returned state are (key, value) of what is held.
+    ``initial_holds`` and the returned state are (key, value) of what is held; a released key has a null value.
 
     Right after any hold the key is held and right after a release it is free, so whether it is held depends
     on the previous row alone, and the held value is that of the last hold that found it free.
@@ -135,7 +135,7 @@ def hold_release(
     work = df.withColumns({"_rv_key": hold_key(topic, key), "_rv_op": _column(op), "_rv_dup": dup})
     seeds = None
     if initial_holds is not None:
-        seeds = initial_holds.select(
+        seeds = initial_holds.filter("value is not null").select(
             F.col("key").cast("string").alias("_rv_key"),
             F.lit("hold").alias("_rv_op"),
             F.col("value").cast("string").alias("_rv_dup"),

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import os
-import xml.etree.ElementTree as ET
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import last_key_wins, path_exists, work_path, write_text
 from .routing import failing, with_route
-from .shape import fragment_values, renamed
+from .shape import one_row_per_record, renamed
 
 BAD_XML = "the text is not well-formed XML"
 
@@ -45,40 +44,67 @@ def xml_extract(
     else:
         work = work.withColumn("_rv_xml", F.col("content"))
     work = work.withColumn("_rv_ok", well_formed(F.col("_rv_xml")))
-    values = {name: F.when(F.col("_rv_ok"), F.xpath_string("_rv_xml", F.lit(path))) for name, path in paths.items()}
+    # One evaluation, hence one parse, for all paths; the separator is a character XML text cannot hold.
+    separator = "\u0001"
+    strings = [f"string({path})" for path in paths.values()]
+    joined = strings[0] if len(strings) == 1 else f"concat({f", '{separator}', ".join(strings)})"
+    found = F.split(F.xpath_string("_rv_xml", F.lit(joined)), separator, -1)
+    work = work.withColumn("_rv_found", F.when(F.col("_rv_ok"), found))
+    values = {name: F.get("_rv_found", F.lit(i)) for i, name in enumerate(paths)}
     reason = F.when(F.col("_rv_xml").isNull(), F.lit("no XML to evaluate")).when(~F.col("_rv_ok"), F.lit(BAD_XML))
-    return failing(work.withColumns(values), reason).drop("_rv_xml", "_rv_ok")
-
-
-def _records(text: str | None, root: str, table: bool) -> list[dict[str, str]] | None:
-    """Child elements of each record below ``root`` as name to text; None when the text is no XML."""
-    if text is None:
-        return None
-    try:
-        document = ET.fromstring(text)
-    except ET.ParseError:
-        return None
-    if root.startswith("/"):
-        above = ET.Element("above")
-        above.append(document)
-        found = above.findall("." + root)
-    else:
-        found = document.findall(root)
-    if table:
-        found = [child for parent in found for child in parent]
-    return [{field.tag: "".join(field.itertext()) for field in record} for record in found]
+    return failing(work.withColumns(values), reason).drop("_rv_xml", "_rv_ok", "_rv_found")
 
 
 def _records_udf(root: str, table: bool):
-    @F.pandas_udf("array<map<string,string>>")
-    def parse(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: _records(text, root, table))
+    """Child elements of each record below ``root`` as name to text; null for text that is no XML.
+
+    Everything is defined inside, so that it travels to the workers by value.
+    """
+
+    def records(text: str | None) -> list[dict[str, str]] | None:
+        import xml.etree.ElementTree as ET
+
+        if text is None:
+            return None
+        try:
+            document = ET.fromstring(text)
+        except ET.ParseError:
+            return None
+        if root.startswith("/"):
+            above = ET.Element("above")
+            above.append(document)
+            found = above.findall("." + root)
+        else:
+            found = document.findall(root)
+        if table:
+            found = [child for parent in found for child in parent]
+        return [{field.tag: "".join(field.itertext()) for field in record} for record in found]
+
+    @F.arrow_udf("array<map<string,string>>")
+    def parse(texts: pa.Array) -> pa.Array:
+        # Flat lists with offsets: rows to records, records to fields.
+        row_ends, record_ends, names, values, bad = [0], [0], [], [], []
+        for text in texts.to_pylist():
+            found = records(text)
+            bad.append(found is None)
+            for record in found or ():
+                names.extend(record)
+                values.extend(record.values())
+                record_ends.append(len(names))
+            row_ends.append(len(record_ends) - 1)
+        maps = pa.MapArray.from_arrays(record_ends, pa.array(names, pa.string()), pa.array(values, pa.string()))
+        return pa.ListArray.from_arrays(pa.array(row_ends, pa.int32()), maps, mask=pa.array(bad, pa.bool_()))
 
     return parse
 
 
-def _native_records(source: Column, root: str, table: bool, fields: Sequence[str], record_tag: str | None) -> Column:
-    """The same records through Spark's own XML reader, for fields that are known."""
+def _native_records(
+    source: Column, root: str, table: bool, fields: Sequence[str], record_tag: str | None
+) -> tuple[Column, Column]:
+    """(corrupt text, records) through Spark's own XML reader, for fields that are known.
+
+    Every step above the records must occur once.
+    """
     steps = [step for step in root.split("/") if step]
     inner = "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
     below = steps[1:] + ([record_tag] if table else [])
@@ -86,12 +112,14 @@ def _native_records(source: Column, root: str, table: bool, fields: Sequence[str
     for name in reversed(below):
         schema = f"struct<`{name}`:{schema}>"
     flat = schema[len("struct<"):-1].replace(":", " ", 1) if below else ", ".join(f"`{n}` string" for n in fields)
-    value = F.from_xml(source, flat)
-    if not below:
-        return F.array(value)
+    parsed = F.from_xml(source, f"{flat}, _corrupt_record string")
+    found = [parsed]
     for name in below:
-        value = value[name]
-    return F.coalesce(value, F.array().cast(f"array<{inner}>"))
+        found.append(found[-1][name])
+    if not below:
+        whole = F.struct(*[parsed[name].alias(name) for name in fields])
+        return parsed["_corrupt_record"], F.array(whole)
+    return parsed["_corrupt_record"], F.coalesce(found[-1], F.array().cast(f"array<{inner}>"))
 
 
 def xml_to_columns(
@@ -123,55 +151,19 @@ def xml_to_columns(
     rename = dict(rename or {})
     table = parse_type == "table"
     if fields:
-        ok = df.withColumn("_rv_ok", well_formed(F.col(source)))
-        records = F.when(F.col("_rv_ok"), _native_records(F.col(source), root, table, fields, record_tag))
-        work = ok.withColumn("_rv_records", records).drop("_rv_ok")
-        record_type = "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
-        build = lambda record: record
+        corrupt, records = _native_records(F.col(source), root, table, fields, record_tag)
+        fine = F.col(source).isNotNull() & corrupt.isNull()
+        work = df.withColumn("_rv_records", F.when(fine, records))
     else:
         work = df.withColumn("_rv_records", _records_udf(root, table)(F.col(source)))
-        record_type = "map<string,string>"
-        build = lambda record: _named(record, rename, prefix, always_add)
-    work = work.withColumns(
-        {
-            "_rv_reason": F.when(F.col("_rv_records").isNull(), F.lit(BAD_XML)),
-            "_rv_id": F.uuid(),
-            "_rv_total": F.size(F.coalesce(F.col("_rv_records"), F.array())),
-        }
-    )
-    row_type = f"array<struct<route:string,record:{record_type},position:bigint>>"
-    children = F.transform(
-        "_rv_records",
-        lambda r, i: F.struct(
-            F.lit("success").alias("route"), build(r).alias("record"), (i + 1).cast("bigint").alias("position")
-        ),
-    ).cast(row_type)
-    nothing = F.array().cast(row_type)
-    bad = F.col("_rv_reason").isNotNull()
-    tail = F.array(
-        F.struct(
-            F.when(bad, F.lit("failure")).otherwise(F.lit("original")).alias("route"),
-            F.lit(None).cast(record_type).alias("record"),
-            F.lit(None).cast("bigint").alias("position"),
-        )
-    )
-    if not emit_original:
-        tail = F.when(bad, tail).otherwise(nothing)
-    work = work.withColumn("_rv_row", F.explode(F.concat(F.coalesce(children, nothing), tail)))
-    good = F.col("_rv_row.route") == "success"
-    added: dict[str, Column] = {}
-    if fields:
-        for name in fields:
-            added[prefix + rename.get(name, name)] = F.col("_rv_row.record").getField(name)
-    else:
-        added[into] = F.col("_rv_row.record")
-    added.update(
-        fragment_values(good & F.lit(table), F.col("_rv_id"), F.col("_rv_row.position"), F.col("_rv_total"))
-    )
-    if "content" in df.columns:
-        added["content"] = F.when(~good, F.col("content"))
-    out = with_route(work.withColumns(added), F.col("_rv_row.route"), F.col("_rv_reason"))
-    return out.drop(*[c for c in out.columns if c.startswith("_rv_")])
+
+    def build(record: Column) -> dict[str, Column]:
+        if fields:
+            return {prefix + rename.get(name, name): record.getField(name) for name in fields}
+        return {into: _named(record, rename, prefix, always_add)}
+
+    work = work.withColumn("_rv_reason", F.when(F.col("_rv_records").isNull(), F.lit(BAD_XML)))
+    return one_row_per_record(df, work, build, F.lit(table), emit_original)
 
 
 def _named(record: Column, rename: Mapping[str, str], prefix: str, always_add: bool) -> Column:

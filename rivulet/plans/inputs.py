@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .registry import table
+from .registry import spread, table
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -20,7 +20,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("o_custkey").alias("nested"),
         F.array("o_custkey").alias("listed"),
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(fields, KEEP_NULLS).alias("content"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", F.to_json(fields, KEEP_NULLS).alias("content"))
 
 
 def order_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def order_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
     second = F.to_json(F.struct("o_orderkey", "o_orderpriority"))
     text = F.concat(F.lit("["), first, F.lit(",7,"), second, F.lit("]"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("content"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", text.alias("content"))
 
 
 def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "signup", F.col("event_id").cast("string"))
         .otherwise(props)
     )
-    return table(spark, sf_dir, "events").select("event_id", text.alias("content"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", text.alias("content"))
 
 
 def order_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def order_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         tag("head", tag("id", F.col("o_orderkey").cast("string")), tag("status", F.col("o_orderstatus"))),
         tag("lines", line(1, F.col("o_orderpriority")), line(2, F.col("o_custkey"))),
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("content"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", text.alias("content"))
 
 
 def checked_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def checked_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.lit("<order><id>"), number, F.lit("</id><status>"), F.col("o_orderstatus"), F.lit("</status>"), end
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("content"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", text.alias("content"))
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     1 inserts a new order under the negated key; 2 updates every order; 3 deletes low-priority ones; 4 inserts
     those of them in state P again; 5 is an operation of an unknown kind on urgent ones.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     low = F.col("o_orderpriority") == "5-LOW"
     key = F.col("o_orderkey")
     new_key = (-key - 1).alias("o_orderkey")
@@ -117,7 +117,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         member("after", F.col("c.after")),
         F.lit("}"),
     )
-    return orders.select("o_orderkey", F.explode(changes).alias("c")).select(
+    return orders.select("o_orderkey", F.explode_outer(changes).alias("c")).select(
         "o_orderkey", F.col("c.n").alias("n"), text.alias("content")
     )
 

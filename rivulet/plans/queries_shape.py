@@ -21,7 +21,7 @@ from ..operators import (
     xml_to_columns,
 )
 from .inputs import checked_xml, mixed_documents, order_arrays, order_documents, order_xml
-from .registry import query, table
+from .registry import query, spread, table
 
 
 @query(
@@ -29,7 +29,7 @@ from .registry import query, table
     "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, 'success' as route from events",
 )
 def json_typed(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "props")
+    events = spread(table(spark, sf_dir, "events")).select("event_id", "props")
     out = json_to_columns(events, "props", fields={"k": "bigint"}, fragments="never", emit_original=False)
     return out.select("event_id", "k", "route")
 
@@ -104,7 +104,7 @@ def json_rename(spark, sf_dir):
 )
 def csv_of_arrays(spark, sf_dir):
     # The second element is text that holds an object.
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     first = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
     second = F.to_json(F.struct("o_orderkey", "o_orderpriority"))
     text = F.concat(F.lit("["), first, F.lit(","), F.lit('"'), F.replace(second, F.lit('"'), F.lit('\\"')), F.lit('"]'))

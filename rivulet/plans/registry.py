@@ -27,3 +27,13 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer tasks than there are cores, spread over all of them.
+
+    A small file is one task, which would leave the costly parsing behind it to one core. A scan that already
+    has enough tasks is returned as it is, without an exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

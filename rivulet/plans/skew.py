@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 # A group below this many rows is never worth cutting.
@@ -51,23 +51,19 @@ def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -
     return condition
 
 
-def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame | None, int]:
-    """(table of groups above the threshold with their counts, threshold); None when there are none.
+def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[list[Row], int]:
+    """(groups above the threshold with their counts, threshold).
 
     At most P rows reach the driver: only that many groups can each exceed total/P rows.
     """
-    spark = df.sparkSession
-    partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rv_rows"))
     largest = counts.filter(F.col("_rv_rows") > hot_rows).orderBy(F.desc("_rv_rows")).limit(partitions)
     rows = largest.collect()
     if not rows:
-        return None, hot_rows
+        return [], hot_rows
     threshold = max(hot_rows, df.count() // partitions)
-    rows = [r for r in rows if r["_rv_rows"] > threshold]
-    if not rows:
-        return None, threshold
-    return spark.createDataFrame(rows, counts.schema), threshold
+    return [row for row in rows if row["_rv_rows"] > threshold], threshold
 
 
 class OrderedGroups:
@@ -93,7 +89,7 @@ class OrderedGroups:
         self.bounds: DataFrame | None = None
         self.df = df.withColumns(names)
         hot, threshold = hot_groups(self.df, self.keys, hot_rows)
-        if hot is not None:
+        if hot:
             self.bounds = self._cut(hot, threshold)
             self.df = self._with_chunk(self.df, "left")
         else:
@@ -104,19 +100,20 @@ class OrderedGroups:
     def _position(self) -> Column:
         return F.struct(*[F.col(name) for name in self.order])
 
-    def _cut(self, hot: DataFrame, threshold: int) -> DataFrame:
+    def _cut(self, hot: list[Row], threshold: int) -> DataFrame:
         """Sorted cut points per hot group, taken from a sample and then frozen as literals.
 
         The sample only decides how even the chunks are: any set of cut points gives the same result.
         """
         spark = self.df.sparkSession
-        sized = hot.withColumn(
-            "_rv_chunks", F.least(F.ceil(F.col("_rv_rows") / F.lit(threshold)) + 1, F.lit(MAX_CHUNKS)).cast("int")
+        chunks = [min(MAX_CHUNKS, -(-row["_rv_rows"] // threshold) + 1) for row in hot]
+        fraction = min(1.0, SAMPLES_PER_CHUNK * sum(chunks) / sum(row["_rv_rows"] for row in hot))
+        key_type = ", ".join(f"{k} {self.df.schema[k].dataType.simpleString()}" for k in self.keys)
+        sized = spark.createDataFrame(
+            [(*[row[k] for k in self.keys], n) for row, n in zip(hot, chunks)], f"{key_type}, _rv_chunks int"
         )
-        stats = sized.agg(F.sum("_rv_rows").alias("rows"), F.sum("_rv_chunks").alias("chunks")).first()
-        fraction = min(1.0, SAMPLES_PER_CHUNK * stats["chunks"] / stats["rows"])
         names = [f"{k}_h" for k in self.keys]
-        sized = sized.toDF(*names, "_rv_rows", "_rv_chunks")
+        sized = sized.toDF(*names, "_rv_chunks")
         rows = self.df.select(*self.keys, *self.order)
         sample = rows.join(
             F.broadcast(sized), _same(rows, sized, list(zip(self.keys, names))), "inner"
