@@ -176,7 +176,8 @@ def apply_changes(
     """
     record = F.from_json(F.col(source), CHANGE)
     order = F.col(order_by) if order_by in changes.columns else F.col(f"_rv_c.{order_by}")
-    work = changes.withColumn("_rv_c", record).filter(F.col("_rv_c.op_type").isin(INSERT, UPDATE, DELETE))
+    # Unknown kinds are passed over inside the aggregation: a filter would parse every record once more.
+    work = changes.withColumn("_rv_c", record)
     op, after = F.col("_rv_c.op_type"), F.col("_rv_c.after")
     image = F.coalesce(F.when(op == INSERT, after).otherwise(F.col("_rv_c.before")), after)
     fields = {f.name: f.dataType for f in target.schema.fields}
@@ -187,7 +188,9 @@ def apply_changes(
         op.alias("_rv_op"),
         after.alias("_rv_after"),
     )
-    present = F.col("_rv_op") != DELETE
+    op = F.col("_rv_op")
+    known = op.isin(INSERT, UPDATE, DELETE)
+    present = op.isin(INSERT, UPDATE)
     latest = [
         F.max(
             F.when(
@@ -198,10 +201,10 @@ def apply_changes(
         for i, name in enumerate(others)
     ]
     folded = work.groupBy(*keys).agg(
-        F.max_by("_rv_op", "_rv_pos").alias("_rv_last"),
-        F.max(F.when(F.col("_rv_op") != UPDATE, F.col("_rv_pos"))).alias("_rv_reset"),
+        F.max_by("_rv_op", F.when(known, F.col("_rv_pos"))).alias("_rv_last"),
+        F.max(F.when(op.isin(INSERT, DELETE), F.col("_rv_pos"))).alias("_rv_reset"),
         *latest,
-    )
+    ).filter("_rv_last is not null")
     joined = target.join(folded, list(keys), "full_outer").filter(
         F.col("_rv_last").isNull() | (F.col("_rv_last") != DELETE)
     )

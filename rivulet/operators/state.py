@@ -203,13 +203,14 @@ def assign_sequence(
     work, order = _seeded(work, seeds, order_by)
     groups = OrderedGroups(work, ["_rv_key"], order, hot_rows)
     is_row = F.when(F.col("_rv_row") == 1, F.lit(1))
-    groups.with_running(
-        Running("_rv_before", "count", is_row), Running("_rv_base", "first", F.col("_rv_current"))
-    )
+    running = [Running("_rv_before", "count", is_row)]
     step = F.lit(increment).cast("bigint")
-    value = F.coalesce(
-        F.col("_rv_base") + step * (F.col("_rv_before") + 1), F.lit(start).cast("bigint") + step * F.col("_rv_before")
-    )
+    value = F.lit(start).cast("bigint") + step * F.col("_rv_before")
+    if counters is not None:
+        # Only the state row in front holds a number, so the greatest one so far is that one.
+        running.append(Running("_rv_base", "max", F.col("_rv_current")))
+        value = F.coalesce(F.col("_rv_base") + step * (F.col("_rv_before") + 1), value)
+    groups.with_running(*running)
     counts = work.groupBy(F.col("_rv_key").alias("sequence")).agg(
         F.max("_rv_current").alias("_rv_current"), F.count(is_row).alias("_rv_rows")
     )

@@ -124,21 +124,24 @@ class OrderedGroups:
         marked = sample.select(*self.keys, self._position().alias("p"), step.alias("s"))
         firsts = marked.groupBy(*self.keys, "s").agg(F.min("p").alias("p")).filter("s > 0")
         cuts = firsts.groupBy(*self.keys).agg(F.array_sort(F.collect_set("p")).alias(BOUNDS))
-        return spark.createDataFrame(cuts.collect(), cuts.schema)
+        frozen = cuts.collect()
+        self.most_cuts = max((len(row[BOUNDS]) for row in frozen), default=0)
+        return spark.createDataFrame(frozen, cuts.schema)
 
     def _with_chunk(self, df: DataFrame, how: str) -> DataFrame:
-        """Add the chunk number: how many cut points of the row's group are not above the row."""
+        """Add the chunk number: how many cut points of the row's group are not above the row.
+
+        A binary search, one projection per halving, which stays in generated code.
+        """
         names = [f"{k}_b" for k in self.keys]
         bounds = self.bounds.toDF(*names, BOUNDS)
-        joined = df.join(F.broadcast(bounds), _same(df, bounds, list(zip(self.keys, names))), how)
-        steps = F.array(*[F.lit(1 << i) for i in reversed(range(MAX_CHUNKS.bit_length()))])
-        here = self._position()
-        chunk = F.aggregate(
-            steps,
-            F.lit(0),
-            lambda pos, step: F.when(F.get(F.col(BOUNDS), pos + step - 1) <= here, pos + step).otherwise(pos),
-        )
-        return joined.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(chunk)).drop(*names, BOUNDS)
+        out = df.join(F.broadcast(bounds), _same(df, bounds, list(zip(self.keys, names))), how)
+        out = out.withColumns({"_rv_here": self._position(), CHUNK: F.lit(0)})
+        for bit in reversed(range(self.most_cuts.bit_length())):
+            step = 1 << bit
+            reached = F.get(F.col(BOUNDS), F.col(CHUNK) + (step - 1)) <= F.col("_rv_here")
+            out = out.withColumn(CHUNK, F.col(CHUNK) + F.when(reached, F.lit(step)).otherwise(F.lit(0)))
+        return out.drop(*names, BOUNDS, "_rv_here")
 
     def chunk_counts(self) -> DataFrame | None:
         """(keys, number of chunks) of the hot groups; None when there are none."""
