@@ -2,5 +2,5 @@
 
 from .functions import *  # noqa: F401,F403
 from .operators import *  # noqa: F401,F403
-from .session import build_session
+from .session import build_session, written  # noqa: F401
 from .sources import *  # noqa: F401,F403

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import DEFAULT_HOT_ROWS, numbered
-from ..session import last_key_wins
+from ..session import last_key_wins, written
 from .routing import with_route
 
 CELL = ["row_key", "family", "qualifier"]
@@ -81,7 +81,8 @@ def scan_cells(
         rows = rows.filter("_rv_hit").drop("_rv_hit")
     if fragments:
         identifier = cells.sparkSession.range(1).select(F.uuid()).first()[0]
-        groups = numbered(rows, [], ["row_key"], hot_rows)
+        # Numbering reads the rows several times, mostly just their keys.
+        groups = numbered(written(rows, "scan"), [], ["row_key"], hot_rows)
         rows = groups.result().withColumns(
             {
                 "fragment_identifier": F.lit(identifier),

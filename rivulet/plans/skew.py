@@ -70,7 +70,9 @@ class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and ordered by ``order_by`` inside each group.
 
     ``order_by`` must order each group totally; ``keys`` may be empty (all rows are one group).
-    ``df`` must be deterministic: it is read again to look for hot groups.
+    ``df`` must be deterministic: it is read again to look for hot groups and, where there are some, to sum up
+    their chunks. Those reads take just the key, order and value columns; pass a costly result through
+    :func:`rivulet.session.written` first.
     """
 
     def __init__(

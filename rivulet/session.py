@@ -54,6 +54,16 @@ def work_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "rivulet", f"{name}-{uuid.uuid4().hex}")
 
 
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` computed once into a parquet table in the shared folder, and read back from there.
+
+    For a costly result that an operator reads several times; it also cuts the lineage.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whichever file system its scheme names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
