@@ -16,6 +16,7 @@ def build_session(app_name: str = "rivulet", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -30,8 +31,9 @@ def build_session(app_name: str = "rivulet", master: str | None = None, **conf:
 
 
 def last_key_wins(df: DataFrame) -> DataFrame:
-    """Overlaying maps needs Spark's LAST_WIN policy (the default raises on a repeated key)."""
+    """Let the last of repeated keys win in maps and in parsed JSON, where Spark would raise by default."""
     df.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return df
 
 

@@ -103,6 +103,15 @@ def test_json_to_columns_typed_fields(spark):
     assert [(r.num, r["b.c"], r.n) for r in rows] == [(5, "x", None), (6, "", None)]
 
 
+def test_json_to_columns_last_of_repeated_keys_wins(spark):
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    row = json_to_columns(contents(spark, '{"a": 1, "b": 2, "a": 3}'), rename={"b": "a"}, emit_original=False).first()
+    assert row.attributes == {"a": "2"}
+    row = json_to_columns(contents(spark, '{"a": 1, "a": 3}'), emit_original=False).first()
+    assert row.attributes == {"a": "3"}
+
+
 def test_promote(spark):
     df = json_to_columns(contents(spark, '{"a":1}'), emit_original=False)
     row = promote(df, ["a", "b"]).first()
