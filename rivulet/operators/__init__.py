@@ -20,6 +20,7 @@ from .shape import (
     content_to_column,
     json_to_columns,
     json_to_csv,
+    positional_rename,
     promote,
     update_columns,
 )

@@ -169,7 +169,7 @@ def json_to_columns(
     add_nulls: bool = True,
     fragments: str = "always",
     rename: Mapping[str, str] | None = None,
-    always_add: bool = True,
+    always_add: bool | Sequence[str] = True,
     fields: Mapping[str, str] | None = None,
     emit_original: bool = True,
     into: str = "attributes",
@@ -179,7 +179,8 @@ def json_to_columns(
 
     An array gives one row per object element (other elements are skipped). Nested objects and arrays are
     dropped. The names differ per row, so they come as a map column ``into``; give ``fields`` (name to
-    type) to get ordinary typed columns instead. ``fragments`` is ``always``, ``never`` or ``arrays``.
+    type) to get ordinary typed columns instead. ``always_add`` gives every record the new names of ``rename``
+    (or the names listed), empty where the record lacks them. ``fragments`` is ``always``, ``never`` or ``arrays``.
     Routes: ``success`` rows, the ``original`` row, and ``failure`` where the text is no object or array.
     """
     if fragments not in ("always", "never", "arrays"):
@@ -260,7 +261,7 @@ def _record_columns(
     rename: Mapping[str, str],
     prefix: str,
     add_nulls: bool,
-    always_add: bool,
+    always_add: bool | Sequence[str],
     into: str,
 ) -> dict[str, Column]:
     if not fields:
@@ -276,7 +277,9 @@ def fragment_values(when: Column, identifier: Column, index: Column, count: Colu
     return {name: F.when(when, value) for name, value in zip(FRAGMENT_COLUMNS, values)}
 
 
-def _text_record(obj: Column, rename: Mapping[str, str], prefix: str, add_nulls: bool, always_add: bool) -> Column:
+def _text_record(
+    obj: Column, rename: Mapping[str, str], prefix: str, add_nulls: bool, always_add: bool | Sequence[str]
+) -> Column:
     leaves = F.map_filter(obj, lambda k, v: ~is_nested(v))
     if add_nulls:
         text = F.transform_values(leaves, lambda k, v: F.coalesce(v.try_cast("string"), F.lit("")))
@@ -285,10 +288,28 @@ def _text_record(obj: Column, rename: Mapping[str, str], prefix: str, add_nulls:
         text = F.map_filter(text, lambda k, v: v.isNotNull())
     if rename or prefix:
         text = F.transform_keys(text, lambda k, v: F.concat(F.lit(prefix), renamed(k, rename)))
-    if rename and always_add and add_nulls:
-        defaults = F.create_map(*[F.lit(x) for new in dict.fromkeys(rename.values()) for x in (prefix + new, "")])
-        text = F.map_concat(defaults, text)
-    return text
+    added = added_names(rename, always_add) if add_nulls else []
+    return F.map_concat(empty_entries([prefix + name for name in added]), text) if added else text
+
+
+def positional_rename(
+    names: Sequence[str] | str, new_names: Sequence[str] | str, delimiter: str = ","
+) -> tuple[dict[str, str], list[str]]:
+    """(``rename``, ``always_add``) from a list of names and one of new names; surplus names keep theirs."""
+    new = _name_list(new_names, delimiter)
+    return dict(reversed(list(zip(_name_list(names, delimiter), new)))), new
+
+
+def added_names(rename: Mapping[str, str], always_add: bool | Sequence[str]) -> list[str]:
+    """Names every record gets."""
+    if isinstance(always_add, bool):
+        return list(dict.fromkeys(rename.values())) if always_add else []
+    return list(always_add)
+
+
+def empty_entries(names: Sequence[str]) -> Column:
+    """A map of empty texts."""
+    return F.create_map(*[F.lit(x) for name in names for x in (name, "")])
 
 
 def renamed(name: Column, rename: Mapping[str, str]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import last_key_wins, path_exists, work_path, write_text
 from .routing import failing, with_route
-from .shape import one_row_per_record, renamed
+from .shape import added_names, empty_entries, one_row_per_record, renamed
 
 BAD_XML = "the text is not well-formed XML"
 
@@ -130,7 +130,7 @@ def xml_to_columns(
     source: str = "content",
     prefix: str = "",
     rename: Mapping[str, str] | None = None,
-    always_add: bool = True,
+    always_add: bool | Sequence[str] = True,
     fields: Sequence[str] | None = None,
     record_tag: str | None = None,
     emit_original: bool = True,
@@ -166,15 +166,13 @@ def xml_to_columns(
     return one_row_per_record(df, work, build, F.lit(table), emit_original)
 
 
-def _named(record: Column, rename: Mapping[str, str], prefix: str, always_add: bool) -> Column:
+def _named(record: Column, rename: Mapping[str, str], prefix: str, always_add: bool | Sequence[str]) -> Column:
     out = record
     if rename or prefix:
         out = F.transform_keys(out, lambda k, v: F.concat(F.lit(prefix), renamed(k, rename)))
-    if rename and always_add:
-        # Always-added names carry no prefix here, unlike their JSON counterpart.
-        defaults = F.create_map(*[F.lit(x) for new in dict.fromkeys(rename.values()) for x in (new, "")])
-        out = F.map_concat(defaults, out)
-    return out
+    # Always-added names carry no prefix here, unlike their JSON counterpart.
+    added = added_names(rename, always_add)
+    return F.map_concat(empty_entries(added), out) if added else out
 
 
 def validate_xml(

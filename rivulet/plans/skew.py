@@ -1,14 +1,14 @@
 """Running values over ordered groups that stay balanced when one group is huge.
 
 A window hands each group to one task. That is fine until one key holds a large share of the rows.
-:class:`OrderedGroups` therefore counts the groups first. Groups no larger than an average shuffle
-partition keep the plain window. A larger ("hot") group is cut along its own order into chunks; the
+:class:`OrderedGroups` therefore counts the groups first. Groups no larger than an average slice of the
+rows keep the plain window. A larger ("hot") group is cut along its own order into chunks; the
 window then runs per (group, chunk), and what the earlier chunks of the same group amount to comes in
 through a small broadcast table holding one row per chunk.
 
-Size bounds, with P = ``spark.sql.shuffle.partitions``: a hot group has more than total/P rows, so there
-are fewer than P of them, and their chunks number fewer than 2P. Everything collected or broadcast here
-has at most that many rows.
+Size bounds, with P slices (``spark.sql.shuffle.partitions``, at least 1000): a hot group has more than
+total/P rows, so there are fewer than P of them, and a group of n rows gets at most n/(total/P) + 2 chunks,
+together fewer than 3P. Everything collected or broadcast here has at most that many rows.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 # A group below this many rows is never worth cutting.
 DEFAULT_HOT_ROWS = 1_000_000
+MIN_SLICES = 1000
 MAX_CHUNKS = 2048
 SAMPLES_PER_CHUNK = 64
 
@@ -56,13 +57,13 @@ def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[list[Row]
 
     At most P rows reach the driver: only that many groups can each exceed total/P rows.
     """
-    partitions = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slices = max(MIN_SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rv_rows"))
-    largest = counts.filter(F.col("_rv_rows") > hot_rows).orderBy(F.desc("_rv_rows")).limit(partitions)
+    largest = counts.filter(F.col("_rv_rows") > hot_rows).orderBy(F.desc("_rv_rows")).limit(slices)
     rows = largest.collect()
     if not rows:
         return [], hot_rows
-    threshold = max(hot_rows, df.count() // partitions)
+    threshold = max(hot_rows, df.count() // slices)
     return [row for row in rows if row["_rv_rows"] > threshold], threshold
 
 

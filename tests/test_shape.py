@@ -8,6 +8,7 @@ from rivulet.operators import (
     content_to_column,
     json_to_columns,
     json_to_csv,
+    positional_rename,
     promote,
     route_counts,
     split_routes,
@@ -103,6 +104,14 @@ def test_json_to_columns_typed_fields(spark):
     assert [(r.num, r["b.c"], r.n) for r in rows] == [(5, "x", None), (6, "", None)]
 
 
+def test_positional_rename_lists(spark):
+    assert positional_rename("a,b,c", "x,y") == ({"a": "x", "b": "y"}, ["x", "y"])
+    rename, added = positional_rename("a|a", "x|y|z", "|")
+    assert rename == {"a": "x"}
+    row = json_to_columns(contents(spark, '{"a": 1, "q": 2}'), rename=rename, always_add=added, emit_original=False).first()
+    assert row.attributes == {"x": "1", "y": "", "z": "", "q": "2"}
+
+
 def test_json_to_columns_last_of_repeated_keys_wins(spark):
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
