@@ -58,7 +58,7 @@ if __name__ == "__main__":
     oracles = oracle_sql()
     bad = 0
     for name, query in queries().items():
-        if only and name not in only:
+        if name not in oracles or (only and name not in only):
             continue
         start = time.time()
         try:
