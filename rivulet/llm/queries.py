@@ -64,7 +64,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op4_substring_dedup"] = r"""
 with words as (
-    select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+    select doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] as w
     from documents
 ), starts as (
     select doc_id, i, array_to_string(w[i:i + 19], ' ') as k from words, unnest(range(1, len(w) - 18)) as t(i)
@@ -74,8 +74,7 @@ with words as (
     select distinct doc_id, i + j as p from judged, unnest(range(0, 20)) as t(j) where again
 ), lost as (select doc_id, list(p) as p from gone group by doc_id)
 select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(p), 0) as bigint) as n_removed,
-    sha256(array_to_string(list_transform(
-        list_filter(range(1, len(w) + 1), x -> not list_contains(coalesce(p, []), x)), x -> w[x]), ' ')) as kept_sha256
+    sha256(array_to_string([w[x] for x in range(1, len(w) + 1) if not list_contains(coalesce(p, []), x)], ' ')) as kept_sha256
 from words left join lost using (doc_id)
 """
 
