@@ -1,11 +1,13 @@
 """Removal of repeated passages: every word covered by a 20-word window that also starts earlier.
 
-Pass 1 counts windows in a count-min sketch: each task has its own, with counters that stop at two, and the parts are
-merged block by block. A sketch never counts too low, so windows it has once are unique and need no further look; the
-sketch is an upper bound whose size costs only false alarms, never a loss. Pass 2 groups exactly those windows that may
-repeat. They meet in buckets by the smallest 5-word hash within them (a minimiser), which neighbouring windows share,
-so runs of windows travel together; a batch sends each distinct window once, so a passage that a third of all documents
-share is no hot group. A window is identified by 96 bits of two independent hashes.
+Each window has an anchor: the least hash among the 12-word runs within it. Windows with the same words have their
+anchors at the same place, so a window occurs at most as often as its anchor does, and neighbouring windows mostly share
+one, so there are some five times fewer anchors than windows. Pass 1 counts anchors in a count-min sketch: each task has
+its own, with counters that stop at two, and the parts are merged block by block. The sketch never counts a window too
+low, so windows whose anchor it has once are unique and need no further look; its size costs only false alarms, never
+a loss. Pass 2 groups exactly those windows that may repeat. They meet in buckets by anchor, so runs of windows travel
+together; a batch sends each distinct window once, so a passage that a third of all documents share is no hot group.
+A window is identified within its bucket by 80 bits of two independent hashes.
 
 Documents are ordered by id (null first), then by the hash of the text; rows that agree in both count as one document.
 """
@@ -37,16 +39,6 @@ def _cells(windows: np.ndarray, row: int, power: int) -> np.ndarray:
     return (keys >> np.uint64(64 - power)).astype(np.int64)
 
 
-def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of each run of ``width`` values."""
-    covered = 1
-    while covered < width:
-        step = min(covered, width - covered)
-        values = np.minimum(values[:-step], values[step:])
-        covered += step
-    return values
-
-
 def _set_bits(bits: np.ndarray, cells: np.ndarray) -> None:
     """Set the bits of sorted distinct cells."""
     if len(cells):
@@ -60,7 +52,7 @@ def _has_bits(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
 
 
 class _Windows:
-    """Words of a batch of texts as hashes, and all windows that lie within one text."""
+    """Words of a batch of texts as hashes, and all windows that lie within one text, with their anchors."""
 
     def __init__(self, texts: list[bytes | None], hashes: WordHashes, window: int):
         lists = [words_of(t) for t in texts]
@@ -72,6 +64,12 @@ class _Windows:
         position = np.arange(len(self.keys)) - (ends - self.sizes)[row]
         self.inside = np.flatnonzero(position + window <= self.sizes[row])
         self.keys, self.row, self.position = self.keys[self.inside], row[self.inside], position[self.inside]
+        width = window * 3 // 5
+        self.runs = rolled(self.hashes, width)
+        self.anchors_at = self.inside
+        if len(self.inside):
+            within = np.lib.stride_tricks.sliding_window_view(self.runs, window - width + 1)[self.inside]
+            self.anchors_at = self.inside + within.argmin(1)
 
 
 def window_sketch(docs: DataFrame, window: int, power: int) -> bytes:
@@ -83,7 +81,8 @@ def window_sketch(docs: DataFrame, window: int, power: int) -> bytes:
         twice = np.zeros_like(once)
         any_rows = False
         for batch in slices(batches, "text"):
-            keys = _Windows(batch.column("text").to_pylist(), hashes, window).keys
+            w = _Windows(batch.column("text").to_pylist(), hashes, window)
+            keys = w.runs[np.unique(w.anchors_at)]
             any_rows = any_rows or len(keys) > 0
             for r in range(ROWS):
                 cells, n = np.unique(_cells(keys, r, power), return_counts=True)
@@ -126,7 +125,7 @@ def repeated_ranges(docs: DataFrame, window: int = 20) -> DataFrame:
     """
     spark = docs.sparkSession
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    power = int(min(max(np.ceil(np.log2(max(chars, 1) / 4)), BLOCK), MOST_CELLS))
+    power = int(min(max(np.ceil(np.log2(max(chars, 1) / 8)), BLOCK), MOST_CELLS))
     buckets = chars // BUCKET_CHARS + 1
     sketch = spark.sparkContext.broadcast(window_sketch(docs, window, power))
 
@@ -138,17 +137,17 @@ def repeated_ranges(docs: DataFrame, window: int = 20) -> DataFrame:
             ids = np.array([NULL_ID if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
             keys = np.array([xxhash.xxh64_intdigest(t or b"", 42) for t in texts], np.uint64).view(np.int64)
             w = _Windows(texts, hashes, window)
-            maybe = np.ones(len(w.keys), bool)
+            anchors = w.runs[w.anchors_at]
+            maybe = np.ones(len(anchors), bool)
             for r in range(ROWS):
-                maybe[maybe] = _has_bits(bits[r], _cells(w.keys[maybe], r, power))
+                maybe[maybe] = _has_bits(bits[r], _cells(anchors[maybe], r, power))
             if not maybe.any():
                 continue
             # the documents in their order, and what identifies a window
             place = np.empty(len(ids), np.int64)
             place[np.lexsort((keys, ids))] = np.arange(len(ids))
             second = rolled(mixed(w.hashes ^ np.uint64(0x8EBC6AF09C88C6E3)), window)[w.inside][maybe]
-            grams = _least(rolled(w.hashes, 5), window - 4)
-            bucket = (mixed(grams[w.inside][maybe]) % np.uint64(buckets)).astype(np.int64)
+            bucket = (mixed(anchors[maybe]) % np.uint64(buckets)).astype(np.int64)
             first, row, position = w.keys[maybe], w.row[maybe], w.position[maybe]
             order = np.lexsort((position, place[row], second, first, bucket))
             bucket, first, second, row, position = (x[order] for x in (bucket, first, second, row, position))
@@ -159,34 +158,33 @@ def repeated_ranges(docs: DataFrame, window: int = 20) -> DataFrame:
             bucket, first, second, row, position, new = (x[back] for x in (bucket, first, second, row, position, new))
             same = same[back]
             cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            out: dict[str, list] = {k: [] for k in ("bucket", "first", "second", "doc_id", "text_key", "row", "at", "more_row", "more_at")}
+            out: dict[str, list] = {k: [] for k in ("bucket", "first", "second", "doc_id", "text_key", "places", "more")}
             for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
                 fresh, more = np.flatnonzero(new[a:b]) + a, np.flatnonzero(~new[a:b] & ~same[a:b]) + a
                 used, local = np.unique(row[a:b], return_inverse=True)
                 out["bucket"].append(bucket[a])
                 out["first"].append(first[fresh].tobytes())
-                out["second"].append((second[fresh] >> np.uint64(32)).astype(np.uint32).tobytes())
+                out["second"].append((second[fresh] >> np.uint64(48)).astype(np.uint16).tobytes())
                 out["doc_id"].append(ids[used].tobytes())
                 out["text_key"].append(keys[used].tobytes())
-                for name, chosen in (("", fresh), ("more_", more)):
-                    out[f"{name}row"].append(_packed(local[chosen - a]))
-                    out[f"{name}at"].append(_packed(position[chosen]))
+                for name, chosen in (("places", fresh), ("more", more)):
+                    out[name].append(_packed(local[chosen - a], position[chosen]))
             yield out
 
     rows = in_arrow(
         docs, send,
-        "bucket long, first binary, second binary, doc_id binary, text_key binary, row binary, at binary, "
-        "more_row binary, more_at binary",
+        "bucket long, first binary, second binary, doc_id binary, text_key binary, places binary, more binary",
     )
 
     def decide(table: pd.DataFrame) -> pd.DataFrame:
-        joined = {n: np.frombuffer(b"".join(table[n]), t) for n, t in (("first", np.uint64), ("second", np.uint32), ("doc_id", np.int64), ("text_key", np.int64))}
-        offset, where = 0, {"row": [], "at": [], "more_row": [], "more_at": []}
+        joined = {n: np.frombuffer(b"".join(table[n]), t) for n, t in (("first", np.uint64), ("second", np.uint16), ("doc_id", np.int64), ("text_key", np.int64))}
+        offset, places = 0, {"places": [], "more": []}
         for i, ids in enumerate(table["doc_id"]):
-            for name, parts in where.items():
-                parts.append(_unpacked(table[name].iloc[i]) + (offset if name.endswith("row") else 0))
+            for name, parts in places.items():
+                row, at = _unpacked(table[name].iloc[i])
+                parts.append((row + offset, at))
             offset += len(ids) // 8
-        row, at, more_row, more_at = (np.concatenate(x) for x in where.values())
+        (row, at), (more_row, more_at) = (map(np.concatenate, zip(*parts)) for parts in places.values())
         doc, key = joined["doc_id"][row], joined["text_key"][row]
         order = np.lexsort((at, key, doc, joined["second"], joined["first"]))
         first, second, d, k, p = (x[order] for x in (joined["first"], joined["second"], doc, key, at))
@@ -215,13 +213,18 @@ def repeated_ranges(docs: DataFrame, window: int = 20) -> DataFrame:
     return rows.groupBy("bucket").applyInPandas(decide, "doc_id long, text_key long, ranges binary")
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Whole numbers as differences, which repeat and so compress."""
-    return np.diff(values, prepend=0).astype(np.int32).tobytes()
+def _packed(row: np.ndarray, at: np.ndarray) -> bytes:
+    """Places in order as runs of neighbours: row, first place, length."""
+    if not len(row):
+        return b""
+    starts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)))
+    sizes = np.diff(np.append(starts, len(row)))
+    return np.stack((row[starts], at[starts], sizes), 1).astype(np.int32).tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, np.int32).astype(np.int64))
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    row, at, size = np.frombuffer(data, np.int32).reshape(-1, 3).T.astype(np.int64)
+    return np.repeat(row, size), np.repeat(at - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
