@@ -59,7 +59,7 @@ class Chunk:
         self.start, self.end = start, min(end, len(text))
         encoding = tok.encode(text[self.start : self.end], add_special_tokens=False)
         self.count = len(encoding)
-        self.before: dict[int, int] = {}
+        self.before: dict[int, int] = {self.start: 0}
         last = object()
         for i, (word, (begin, _)) in enumerate(zip(encoding.word_ids, encoding.offsets)):
             if word is None or word != last:
