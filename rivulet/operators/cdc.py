@@ -166,13 +166,17 @@ def changes_to_sql(
 
 
 def apply_changes(
-    target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: str = "pos", source: str = "content"
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: str = "pos", source: str = "content",
+    table: str | None = None,
 ) -> DataFrame:
     """The target table after a set of change records, as a new DataFrame with the target's columns.
 
     Changes of a key apply in the order of ``order_by`` (a column of ``changes`` or a field of the record): an
     insert starts the row afresh, an update overlays just the columns present in ``after``, a delete removes the
-    row. The changes of a key are folded by one partial aggregation, however many there are.
+    row. An update of a row that is not there, or no longer, changes nothing, as its DML statement would; a change
+    without its key is passed over, and a value that cannot be converted leaves the stored one. ``table`` limits the
+    changes to those of one table (as named in the records); ``pos`` is compared as text. The changes of a key are
+    folded by one partial aggregation, however many there are.
     """
     record = F.from_json(F.col(source), CHANGE)
     order = F.col(order_by) if order_by in changes.columns else F.col(f"_rv_c.{order_by}")
@@ -187,14 +191,21 @@ def apply_changes(
         order.alias("_rv_pos"),
         op.alias("_rv_op"),
         after.alias("_rv_after"),
+        F.col("_rv_c.table").alias("_rv_table"),
     )
     op = F.col("_rv_op")
-    known = op.isin(INSERT, UPDATE, DELETE)
-    present = op.isin(INSERT, UPDATE)
+    ours = F.lit(True) if table is None else F.col("_rv_table").eqNullSafe(F.lit(table))
+    known = op.isin(INSERT, UPDATE, DELETE) & ours
+    present = op.isin(INSERT, UPDATE) & ours
+
+    def fits(name: str) -> Column:
+        value = F.try_element_at(F.col("_rv_after"), F.lit(name))
+        return F.map_contains_key(F.col("_rv_after"), name) & (value.isNull() | value.try_cast(fields[name]).isNotNull())
+
     latest = [
         F.max(
             F.when(
-                present & F.map_contains_key(F.col("_rv_after"), name),
+                present & fits(name),
                 F.struct("_rv_pos", F.try_element_at(F.col("_rv_after"), F.lit(name)).alias("value")),
             )
         ).alias(f"_rv_new_{i}")
@@ -202,11 +213,12 @@ def apply_changes(
     ]
     folded = work.groupBy(*keys).agg(
         F.max_by("_rv_op", F.when(known, F.col("_rv_pos"))).alias("_rv_last"),
-        F.max(F.when(op.isin(INSERT, DELETE), F.col("_rv_pos"))).alias("_rv_reset"),
+        F.max(F.when(op.isin(INSERT, DELETE) & ours, F.col("_rv_pos"))).alias("_rv_reset"),
+        F.max_by("_rv_op", F.when(op.isin(INSERT, DELETE) & ours, F.col("_rv_pos"))).alias("_rv_reset_op"),
         *latest,
-    ).filter("_rv_last is not null")
-    joined = target.join(folded, list(keys), "full_outer").filter(
-        F.col("_rv_last").isNull() | (F.col("_rv_last") != DELETE)
+    ).filter("_rv_last is not null").dropna(subset=list(keys))
+    joined = target.withColumn("_rv_there", F.lit(True)).join(folded, list(keys), "full_outer").filter(
+        F.coalesce(F.col("_rv_reset_op") == INSERT, F.col("_rv_there"), F.lit(False))
     )
     reset = F.col("_rv_reset")
     out = [F.col(k) for k in keys]

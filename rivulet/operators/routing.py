@@ -12,9 +12,13 @@ REASON = "failure_reason"
 
 
 def with_route(df: DataFrame, route: Column | str, reason: Column | None = None) -> DataFrame:
-    """Set the route of every row (and the reason, null where there is none)."""
+    """Set the route of every row (and the reason, null where there is none); a row that failed before stays failed."""
     route = F.lit(route) if isinstance(route, str) else route
     reason = F.lit(None).cast("string") if reason is None else reason
+    if ROUTE in df.columns and REASON in df.columns:
+        failed = F.coalesce(F.col(ROUTE) == "failure", F.lit(False))
+        route = F.when(failed, F.lit("failure")).otherwise(route)
+        reason = F.when(failed, F.col(REASON)).otherwise(reason)
     return df.withColumns({ROUTE: route, REASON: reason})
 
 

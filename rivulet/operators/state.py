@@ -141,6 +141,8 @@ def hold_release(
             F.col("value").cast("string").alias("_rv_dup"),
         )
     work, order = _seeded(work, seeds, order_by)
+    # an unknown operation fails and leaves the state as it was
+    work = work.withColumn("_rv_op", F.when(F.col("_rv_op").isin("hold", "release"), F.col("_rv_op")))
     groups = OrderedGroups(work, ["_rv_key"], order, hot_rows)
     groups.with_running(Running("_rv_before", "last", F.col("_rv_op")))
     held = F.coalesce(F.col("_rv_before") == "hold", F.lit(False))
@@ -148,7 +150,8 @@ def hold_release(
     groups.df = groups.df.withColumn("_rv_stored", stored)
     groups.with_running(Running("_rv_held", "last", F.col("_rv_stored")))
     route = (
-        F.when(F.col("_rv_op") == "release", F.when(held, F.lit("success")).otherwise(F.lit("missing")))
+        F.when(F.col("_rv_op").isNull(), F.lit("failure"))
+        .when(F.col("_rv_op") == "release", F.when(held, F.lit("success")).otherwise(F.lit("missing")))
         .when(~held, F.lit("success"))
         .when(F.col("_rv_dup") == F.col("_rv_held"), F.lit("duplicate"))
         .otherwise(F.lit("busy"))
@@ -157,7 +160,7 @@ def hold_release(
     state = (
         groups.df.groupBy(F.col("_rv_key").alias("key"))
         .agg(
-            F.max_by("_rv_op", place).alias("_rv_last"),
+            F.max_by("_rv_op", F.when(F.col("_rv_op").isNotNull(), place)).alias("_rv_last"),
             F.max_by("_rv_stored", F.when(F.col("_rv_stored").isNotNull(), place)).alias("value"),
             (F.max("_rv_row") == 1).alias("updated"),
         )

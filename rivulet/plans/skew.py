@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 # A group below this many rows is never worth cutting.
 DEFAULT_HOT_ROWS = 1_000_000
 MIN_SLICES = 1000
-MAX_CHUNKS = 2048
 SAMPLES_PER_CHUNK = 64
 
 CHUNK = "_rv_chunk"
@@ -58,19 +57,19 @@ def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[list[Row]
     At most P rows reach the driver: only that many groups can each exceed total/P rows.
     """
     slices = max(MIN_SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    total = df.count()
+    threshold = max(hot_rows, total // slices)
+    if total <= threshold:
+        return [], threshold
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rv_rows"))
-    largest = counts.filter(F.col("_rv_rows") > hot_rows).orderBy(F.desc("_rv_rows")).limit(slices)
-    rows = largest.collect()
-    if not rows:
-        return [], hot_rows
-    threshold = max(hot_rows, df.count() // slices)
-    return [row for row in rows if row["_rv_rows"] > threshold], threshold
+    return counts.filter(F.col("_rv_rows") > threshold).collect(), threshold
 
 
 class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and ordered by ``order_by`` inside each group.
 
-    ``order_by`` must order each group totally; ``keys`` may be empty (all rows are one group).
+    ``order_by`` must order each group totally and is demanded at every size; ``keys`` may be empty (all rows are
+    one group).
     ``df`` must be deterministic: it is read again to look for hot groups and, where there are some, to sum up
     their chunks. Those reads take just the key, order and value columns; pass a costly result through
     :func:`rivulet.session.written` first.
@@ -83,6 +82,8 @@ class OrderedGroups:
         order_by: Sequence[str | Column],
         hot_rows: int = DEFAULT_HOT_ROWS,
     ):
+        if not order_by:
+            raise ValueError("ordered groups need an order")
         keys = list(keys) or [F.lit(0)]
         self.keys = [f"_rv_k{i}" for i in range(len(keys))]
         self.order = [f"_rv_o{i}" for i in range(len(order_by))]
@@ -109,7 +110,7 @@ class OrderedGroups:
         The sample only decides how even the chunks are: any set of cut points gives the same result.
         """
         spark = self.df.sparkSession
-        chunks = [min(MAX_CHUNKS, -(-row["_rv_rows"] // threshold) + 1) for row in hot]
+        chunks = [-(-row["_rv_rows"] // threshold) + 1 for row in hot]
         fraction = min(1.0, SAMPLES_PER_CHUNK * sum(chunks) / sum(row["_rv_rows"] for row in hot))
         key_type = ", ".join(f"{k} {self.df.schema[k].dataType.simpleString()}" for k in self.keys)
         sized = spark.createDataFrame(

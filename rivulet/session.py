@@ -72,6 +72,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority of its file system, in the one form used for every spelling of it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``; empty when it does not exist."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.routing import with_route
-from ..session import delete_path, path_exists
+from ..session import delete_path, path_exists, qualified
 
 # File name endings of the compression codecs that the text reader undoes.
 CODEC_ENDINGS = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
@@ -18,8 +18,8 @@ def _plain_name(name: Column) -> Column:
 
 
 def _normal(path: Column) -> Column:
-    """A path without its scheme and trailing slashes, for comparing directories."""
-    return F.regexp_replace(F.regexp_replace(path, r"^[a-zA-Z0-9]+:/*(?=/)", ""), r"/+$", "")
+    """A local path without its scheme, any other with scheme and authority; no trailing slashes."""
+    return F.regexp_replace(F.regexp_replace(path, r"^file:/*(?=/)", ""), r"(?<=.)/+$", "")
 
 
 def _full_path() -> Column:
@@ -69,22 +69,23 @@ def ingest_files(
     """
     # Directory names are configuration-sized; each is checked on the file system once.
     names = [r[0] for r in dirs_df.select(F.col(directory)).distinct().toLocalIterator()]
-    found = [name for name in names if name and path_exists(spark, name)]
+    places = {name: qualified(spark, name) for name in names if name and path_exists(spark, name)}
+    found = sorted(set(places.values()))
     parents = dirs_df.drop("content")
-    known = spark.createDataFrame([(name,) for name in found], "_rv_dir string")
-    with_dir = parents.join(F.broadcast(known), parents[directory] == known["_rv_dir"], "left")
+    known = spark.createDataFrame(list(places.items()), "_rv_dir string, _rv_place string")
+    with_dir = parents.join(known, parents[directory] == known["_rv_dir"], "left")
     present = with_dir.filter("_rv_dir is not null").drop("_rv_dir")
-    missing = with_dir.filter("_rv_dir is null").drop("_rv_dir")
+    missing = with_dir.filter("_rv_dir is null").drop("_rv_dir", "_rv_place")
     out = with_route(missing, "comms.failure", F.lit("dir_does_not_exist"))
     if emit_original:
-        out = out.unionByName(with_route(present, "original"))
+        out = out.unionByName(with_route(present.drop("_rv_place"), "original"))
     if not found:
         return out.withColumns({c: F.lit(None).cast("string") for c in ("filename", "source_file", "path", "content")})
     files = read_files(spark, found, as_binary)
     if regex:
         files = files.filter(F.col("_rv_file").rlike(f"^(?:{regex})$"))
     files = files.drop("_rv_file")
-    joined = present.join(files, _normal(present[directory]) == files["path"], "inner")
+    joined = present.join(files, _normal(present["_rv_place"]) == files["path"], "inner").drop("_rv_place")
     return out.unionByName(with_route(joined, "success"), allowMissingColumns=True)
 
 

@@ -34,6 +34,7 @@ def sql_rows(
 
     ``params`` ties the query to the input rows (input column to query column); a row without a match goes to
     ``empty``. With ``df=None`` the query stands alone. ``query`` is SQL text or a DataFrame (a JDBC read, say).
+    Rows that ``order_by`` leaves tied go by all their columns as text, so fragments are numbered the same at any size.
     A query that cannot be planned raises, or with ``block_on_failure=False`` sends the rows to ``failure``.
     """
     session = df.sparkSession if df is not None else spark
@@ -47,7 +48,8 @@ def sql_rows(
         return failing(df, F.lit(str(error)))
     params = dict(params or {})
     target = {c: strip_qualifier(c) if strip_qualifiers else c for c in result.columns}
-    groups = numbered(result, [quoted(c) for c in params.values()], [quoted(c) for c in order_by], hot_rows)
+    order = [*[quoted(c) for c in order_by], *[to_text(quoted(c)) for c in result.columns]]
+    groups = numbered(result, [quoted(c) for c in params.values()], order, hot_rows)
     values = {f"_rv_t{i}": name for i, name in enumerate(target.values())}
     rows = groups.df.select(
         *groups.keys,

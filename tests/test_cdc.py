@@ -86,3 +86,21 @@ def test_apply_changes(spark):
     )
     rows = {tuple(r) for r in apply_changes(target, changes, ["id"]).collect()}
     assert rows == {(1, "A", None), (4, "d", 41), (3, "again", None)}
+
+
+def test_apply_changes_of_a_real_trail(spark):
+    target = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id int, n int")
+    record = lambda op, pos, before=None, after=None, table="s.t": (json.dumps(
+        {"table": table, "op_type": op, "pos": pos, "primary_keys": ["id"], "before": before, "after": after}
+    ),)
+    changes = spark.createDataFrame([
+        record("U", "01", {"id": 1}, {"id": 1, "n": 99}, "s.other"),
+        record("D", "02", {"id": 2}), record("U", "03", {"id": 2}, {"id": 2, "n": 21}),
+        record("U", "04", {"id": 3}, {"id": 3, "n": "abc"}),
+        record("U", "05", {"id": 7}, {"id": 7, "n": 70}),
+        record("I", "06", None, {"n": 5}),
+        record("I", "07", None, {"id": 8, "n": 80}),
+        ("not json",),
+    ], "content string")
+    rows = {tuple(r) for r in apply_changes(target, changes, ["id"], table="s.t").collect()}
+    assert rows == {(1, 10), (3, 30), (8, 80)}

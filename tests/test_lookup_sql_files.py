@@ -153,3 +153,23 @@ def test_stream_files(spark, tmp_path):
     query = out.writeStream.format("memory").queryName("file_stream").trigger(availableNow=True).start()
     query.awaitTermination()
     assert [(r.filename, r.content) for r in spark.table("file_stream").collect()] == [("a.txt", "one\ntwo")]
+
+
+def test_sql_rows_without_order_is_the_same_at_any_size(spark):
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    children = spark.createDataFrame([(1 + i % 2, f"t{i % 7}") for i in range(60)], "pk int, txt string")
+    found = [
+        sorted((r.id, r.txt, r.fragment_index, r.fragment_count) for r in sql_rows(df, children, {"id": "pk"}, hot_rows=n).collect())
+        for n in (5, 10_000)
+    ]
+    assert found[0] == found[1] and len(found[0]) == 60
+
+
+def test_directories_named_twice_give_each_file_once(spark, tmp_path):
+    from rivulet.sources.files import ingest_files
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.txt").write_text("x")
+    names = [str(tmp_path / "d"), f"{tmp_path}/d/", f"file://{tmp_path}/d"]
+    rows = ingest_files(spark, spark.createDataFrame([(n,) for n in names], "directory string")).collect()
+    assert sorted(r.directory for r in rows if r.route == "success") == sorted(names)

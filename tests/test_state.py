@@ -165,3 +165,13 @@ def test_null_keys_and_order_ties_on_hot_path(wide):
     for k in (None, "x"):
         mine = sorted((r.o, r.id, r._rv_index) for r in out if r.k == k)
         assert [m[2] for m in mine] == list(range(1, 251))
+
+
+def test_unknown_gate_operations_fail_and_change_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from rivulet.operators.state import hold_release
+
+    df = spark.createDataFrame([(1, "hold"), (2, "hodl"), (3, None), (4, "release")], "ord int, op string").withColumn("k", F.lit("a"))
+    done = hold_release(df, F.lit("t"), F.col("k"), F.col("op"), ["ord"])
+    assert [r.route for r in done.rows.orderBy("ord").collect()] == ["success", "failure", "failure", "success"]
