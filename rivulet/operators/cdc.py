@@ -11,16 +11,19 @@ from ..functions.scalars import apply_case, apply_case_text, map_column_name_exp
 from ..functions.template import constants as constant_columns
 from ..session import last_key_wins
 from .routing import with_route
-from .shape import OBJECT, is_nested
+from .shape import OBJECT, as_texts, is_nested
 
 # Change kinds and the route of any other kind.
 INSERT, UPDATE, DELETE = "I", "U", "D"
 UNSUPPORTED = "unsupported op_type"
 
-CHANGE = (
-    "table string, op_type string, pos string, primary_keys array<string>, "
-    "before map<string,string>, after map<string,string>"
-)
+CHANGE = f"table string, op_type string, pos string, primary_keys array<string>, before {OBJECT}, after {OBJECT}"
+
+
+def _parsed(source: str) -> Column:
+    """The change record, its images as text per column; numbers keep all their digits, nested values stay JSON."""
+    record = F.from_json(F.col(source), CHANGE)
+    return record.withField("before", as_texts(record["before"])).withField("after", as_texts(record["after"]))
 
 
 def merge_change_images(
@@ -102,7 +105,7 @@ def changes_to_sql(
     ``column_map`` maps ``table.column`` (the table without its schema) to a target name. Routes: ``success``,
     ``unsupported op_type``, ``skipped`` (an update with nothing but key columns) and ``failure``.
     """
-    work = df.withColumn("_rv_c", F.from_json(F.col(source), CHANGE))
+    work = df.withColumn("_rv_c", _parsed(source))
     work = work.select("*", *[F.col(f"_rv_c.{n}").alias(f"_rv_{n}") for n in ("table", "op_type", "before", "after")])
     if key_columns:
         given = key_columns.split(",") if isinstance(key_columns, str) else list(key_columns)
@@ -178,7 +181,7 @@ def apply_changes(
     changes to those of one table (as named in the records); ``pos`` is compared as text. The changes of a key are
     folded by one partial aggregation, however many there are.
     """
-    record = F.from_json(F.col(source), CHANGE)
+    record = _parsed(source)
     order = F.col(order_by) if order_by in changes.columns else F.col(f"_rv_c.{order_by}")
     # Unknown kinds are passed over inside the aggregation: a filter would parse every record once more.
     work = changes.withColumn("_rv_c", record)

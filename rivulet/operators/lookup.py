@@ -99,12 +99,11 @@ def _text(value: Any) -> str | None:
     return str(value)
 
 
-def _typed_default(value: Any, to_type: str | None) -> Column:
-    """A default as a literal of the target type; without one it keeps its own type."""
+def _typed_default(value: Any, to_type: str | None) -> tuple[Column, Column]:
+    """A default as a literal of the target type, and whether it cannot be converted; untyped, it keeps its own type."""
     if to_type is None and isinstance(value, (int, float, str)):
-        return F.lit(value)
-    text = F.lit(_text(value)).cast("string")
-    return convert_type(text, to_type)[0]
+        return F.lit(value), F.lit(False)
+    return convert_type(F.lit(_text(value)).cast("string"), to_type)
 
 
 class _Plan:
@@ -130,7 +129,9 @@ class _Plan:
         default = spec.get("default")
         value = _text(spec.get("value"))
         if not value:
-            return _typed_default(default, to_type)
+            converted, bad = _typed_default(default, to_type)
+            self.reasons.append((bad, F.lit(f"{key}: cannot convert '{_text(default)}' to {to_type}")))
+            return converted
         kind = spec.get("type", "")
         rendered = F.nullif(render_template(value, self.columns), F.lit(""))
         if kind in CACHE_TYPES:
@@ -165,7 +166,10 @@ class _Plan:
         result = self.df.sparkSession.sql(text)
         on = spec.get("on")
         if not on:
-            row = result.select(result[result.columns[0]].cast("string")).first()
+            order = spec.get("order-by")
+            if order:
+                result = result.orderBy(*[quoted(c) for c in order])
+            row = result.select(quoted(result.columns[0]).cast("string")).first()
             return F.lit(row[0] if row else None).cast("string")
         first = first_values(result, list(on.values()), spec.get("order-by") or result.columns[:1])
         found = self.name("first")

@@ -156,6 +156,11 @@ def is_nested(value: Column) -> Column:
     return value.try_cast(OBJECT).isNotNull() | value.try_cast("array<variant>").isNotNull()
 
 
+def as_texts(entries: Column) -> Column:
+    """A map of variants as a map of texts: numbers with all their digits, nested values as JSON."""
+    return F.transform_values(entries, lambda k, v: v.try_cast("string"))
+
+
 def variant_path(name: str) -> str:
     """Path of a top-level field whatever characters its name holds."""
     return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
@@ -371,7 +376,7 @@ def json_to_csv(
     empty = F.array().cast("array<string>")
     work = df.withColumn("_rv_items", F.coalesce(elements, F.when(~F.rlike(text, F.lit(r"^[\[{]")) & scalar, empty)))
     work = work.withColumn(
-        "_rv_records", F.transform("_rv_items", lambda e: F.from_json(e, "map<string,string>", LAX_JSON))
+        "_rv_records", F.transform("_rv_items", lambda e: as_texts(F.from_json(e, OBJECT, LAX_JSON)))
     )
 
     def line(record: Column) -> Column:

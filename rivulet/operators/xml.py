@@ -16,9 +16,25 @@ from .shape import added_names, empty_entries, one_row_per_record, renamed
 BAD_XML = "the text is not well-formed XML"
 
 
+#: What may stand before a root: a declaration, and a document type without declarations of its own.
+PROLOG = (
+    r"""^(?:<\?xml\s+version\s*=\s*["']1\.0["'](?:\s+encoding\s*=\s*["'][A-Za-z][\w.-]*["'])?"""
+    r"""(?:\s+standalone\s*=\s*["'](?:yes|no)["'])?\s*\?>)?\s*"""
+    r"""(?:<!DOCTYPE\s+[A-Za-z_][\w:.-]*(?:\s+(?:SYSTEM|PUBLIC\s+"[\w /:.+-]*")\s+"[^"<>&]*")?\s*>)?"""
+)
+
+
 def well_formed(xml: Column) -> Column:
-    """Whether the text parses as XML (false for null)."""
-    return xml.isNotNull() & F.from_xml(xml, "_corrupt_record string")["_corrupt_record"].isNull()
+    """Whether the whole text is one XML document (false for null).
+
+    Spark's parser stops at the end of the root, so the text without its prolog is parsed inside an element whose name
+    the text cannot hold; that must then have one element and no loose text.
+    """
+    name = F.concat(F.lit("r"), F.md5(xml))
+    inside = F.concat(F.lit("<"), name, F.lit(">"), F.regexp_replace(xml, PROLOG, ""), F.lit("</"), name, F.lit(">"))
+    parses = F.from_xml(inside, "_corrupt_record string")["_corrupt_record"].isNull()
+    alone = F.xpath_boolean(inside, F.lit("count(/*/*) = 1 and not(/*/text()[normalize-space()])"))
+    return xml.isNotNull() & F.when(parses, alone).otherwise(False)
 
 
 def xml_extract(

@@ -104,3 +104,13 @@ def test_apply_changes_of_a_real_trail(spark):
     ], "content string")
     rows = {tuple(r) for r in apply_changes(target, changes, ["id"], table="s.t").collect()}
     assert rows == {(1, 10), (3, 30), (8, 80)}
+
+
+def test_numbers_keep_all_digits(spark):
+    text = '{"table":"t","op_type":"I","pos":"1","primary_keys":["id"],"after":{"id":1,"p":12345678901234567.89,"o":{"k":[1]}}}'
+    df = contents(spark, text)
+    assert changes_to_sql(df).first().content == (
+        "INSERT INTO t (id, p, o) VALUES ('1', '12345678901234567.89', '{\"k\":[1]}')"
+    )
+    target = spark.createDataFrame([], "id int, p decimal(20,2)")
+    assert str(apply_changes(target, df, ["id"]).first().p) == "12345678901234567.89"

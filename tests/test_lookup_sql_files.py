@@ -173,3 +173,14 @@ def test_directories_named_twice_give_each_file_once(spark, tmp_path):
     names = [str(tmp_path / "d"), f"{tmp_path}/d/", f"file://{tmp_path}/d"]
     rows = ingest_files(spark, spark.createDataFrame([(n,) for n in names], "directory string")).collect()
     assert sorted(r.directory for r in rows if r.route == "success") == sorted(names)
+
+
+def test_enrich_bad_default_and_order_without_on(spark):
+    from rivulet.operators import enrich
+
+    spark.createDataFrame([(1,), (3,), (2,)], "n int").createOrReplaceTempView("ordered_numbers")
+    df = spark.createDataFrame([("c",)], "content string")
+    bad = enrich(df, {"extract-to-attributes": {"x": {"default": "abc", "to-type": "int"}}}).first()
+    assert bad.route == "failure" and bad.x is None and "abc" in bad.failure_reason
+    spec = {"extract-to-attributes": {"x": {"value": "select n from ordered_numbers", "type": "SQL", "order-by": ["n"]}}}
+    assert enrich(df, spec).first().x == "1"

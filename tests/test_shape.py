@@ -166,3 +166,8 @@ def test_stateless_operators_accept_a_stream(spark, tmp_path):
     query = out.writeStream.format("memory").queryName("shape_stream").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("shape_stream").filter("route = 'success'").count() == 3
+
+
+def test_json_to_csv_keeps_all_digits(spark):
+    df = contents(spark, '{"a": 12345678901234567.89, "b": {"k": "v"}}')
+    assert json_to_csv(df, ["a", "b"], header=False, quoted=False).first().content == '12345678901234567.89,{"k":"v"}'

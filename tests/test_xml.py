@@ -72,3 +72,13 @@ def test_validate_xml(spark, tmp_path):
     assert {r.route for r in gone} == {"failure"} and "gone.xsd" in gone[0].failure_reason
     with pytest.raises(ValueError):
         validate_xml(df)
+
+
+def test_xml_extract_of_more_than_one_document(spark):
+    df = contents(
+        spark, "<a>1</a>junk", "<a/><b/>", "junk<a/>", '<?xml version="1.0" encoding="UTF-8"?>\n<a>2</a>\n',
+        "<a>3</a> <!-- end -->", "", "  ", "<!-- only -->", "</w><w><a/>",
+    )
+    rows = {r.id: (r.route, r.v) for r in xml_extract(df, {"v": "/a"}).collect()}
+    good = {3: "2", 4: "3"}
+    assert rows == {i: ("success", good[i]) if i in good else ("failure", None) for i in range(9)}
