@@ -154,17 +154,20 @@ def robust_estimates(rows: DataFrame, keys: list[str], features: list[str], floo
     ).withColumns({f"l_{i}_{j}": F.lit(0.0) for i in range(len(features)) for j in range(i)})
     estimates = written(start.withColumn("logdet", F.lit(None).cast("double")), "estimates")
     for _ in range(STEPS):
-        near = _with_group(rows, estimates, keys).withColumn(
-            "bin", F.floor(F.log1p(_distance(features)) * FINE).cast("long")
-        ).select(*keys, *features, "bin")
-        edges = _quantile_of_bins(near.groupBy(*keys, "bin").agg(F.count("*").alias("n")), keys, SHARE)
-        chosen = _with_group(near, edges.withColumnRenamed("bin", "edge"), keys).filter("bin <= edge")
-        # sums in fixed point, so that they do not depend on the order of addition
-        fixed = lambda c: F.sum((c * 1e6).cast("decimal(28,0)")).cast("double") / 1e6
+        near = _with_group(rows, estimates, keys).withColumn("bin", F.floor(F.log1p(_distance(features)) * FINE).cast("long"))
+        # sums of each bin in fixed point, so that they do not depend on the order of addition
+        sums = {f"s_{i}": F.col(f) for i, f in enumerate(features)}
+        sums |= {f"s_{i}_{j}": F.col(features[i]) * F.col(features[j]) for i in range(len(features)) for j in range(i + 1)}
+        bins = near.groupBy(*keys, "bin").agg(
+            F.count("*").alias("n"), *[F.sum((c * 1e6).cast("decimal(28,0)")).alias(s) for s, c in sums.items()]
+        )
+        # bins up to the one in which the share is reached: those before whose beginning it is not
+        along = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        chosen = bins.withColumns({
+            "before": F.coalesce(F.sum("n").over(along), F.lit(0)), "all": F.sum("n").over(Window.partitionBy(*keys)),
+        }).filter(F.col("before") < F.ceil(F.lit(SHARE) * F.col("all")))
         moments = chosen.groupBy(*keys).agg(
-            F.count("*").cast("double").alias("n"),
-            *[fixed(F.col(f)).alias(f"s_{i}") for i, f in enumerate(features)],
-            *[fixed(F.col(features[i]) * F.col(features[j])).alias(f"s_{i}_{j}") for i in range(len(features)) for j in range(i + 1)],
+            F.sum("n").cast("double").alias("n"), *[(F.sum(s).cast("double") / 1e6).alias(s) for s in sums]
         )
         before, estimates = estimates, written(_factored(moments, keys, floors), "estimates")
         changed = _with_group(estimates, before.select(*keys, F.col("logdet").alias("old")), keys).filter(
