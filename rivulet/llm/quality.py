@@ -114,7 +114,7 @@ def _distance(features: list[str]) -> Column:
 
 
 def _factored(moments: DataFrame, keys: list[str], floors: list[float]) -> DataFrame:
-    """m_*, l_*_* and ``logdet`` of each group from the sums over its chosen rows (n, s_*, s_*_*)."""
+    """m_*, l_*_* and ``logdet`` of each group from the sums over its chosen rows (n, s_*, s_*_*); ``old`` is kept."""
     size = len(floors)
     made = moments.select("*", *[(F.col(f"s_{i}") / F.col("n")).alias(f"m_{i}") for i in range(size)])
     for i in range(size):
@@ -131,7 +131,7 @@ def _factored(moments: DataFrame, keys: list[str], floors: list[float]) -> DataF
             )
     logdet = reduce(Column.__add__, [F.log(f"l_{i}_{i}") for i in range(size)]) * 2
     names = [f"m_{i}" for i in range(size)] + [f"l_{i}_{j}" for i in range(size) for j in range(i + 1)]
-    return made.select(*keys, *names, logdet.alias("logdet"))
+    return made.select(*keys, *names, logdet.alias("logdet"), "old")
 
 
 def robust_estimates(rows: DataFrame, keys: list[str], features: list[str], floors: list[float]) -> DataFrame:
@@ -159,7 +159,8 @@ def robust_estimates(rows: DataFrame, keys: list[str], features: list[str], floo
         sums = {f"s_{i}": F.col(f) for i, f in enumerate(features)}
         sums |= {f"s_{i}_{j}": F.col(features[i]) * F.col(features[j]) for i in range(len(features)) for j in range(i + 1)}
         bins = near.groupBy(*keys, "bin").agg(
-            F.count("*").alias("n"), *[F.sum((c * 1e6).cast("decimal(28,0)")).alias(s) for s, c in sums.items()]
+            F.count("*").alias("n"), F.max("logdet").alias("old"),
+            *[F.sum((c * 1e6).cast("decimal(28,0)")).alias(s) for s, c in sums.items()],
         )
         # bins up to the one in which the share is reached: those before whose beginning it is not
         along = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -167,15 +168,12 @@ def robust_estimates(rows: DataFrame, keys: list[str], features: list[str], floo
             "before": F.coalesce(F.sum("n").over(along), F.lit(0)), "all": F.sum("n").over(Window.partitionBy(*keys)),
         }).filter(F.col("before") < F.ceil(F.lit(SHARE) * F.col("all")))
         moments = chosen.groupBy(*keys).agg(
-            F.sum("n").cast("double").alias("n"), *[(F.sum(s).cast("double") / 1e6).alias(s) for s in sums]
+            F.sum("n").cast("double").alias("n"), F.max("old").alias("old"), *[(F.sum(s).cast("double") / 1e6).alias(s) for s in sums]
         )
-        before, estimates = estimates, written(_factored(moments, keys, floors), "estimates")
-        changed = _with_group(estimates, before.select(*keys, F.col("logdet").alias("old")), keys).filter(
-            F.coalesce(F.abs(F.col("logdet") - F.col("old")) > 1e-6, F.lit(True))
-        )
-        if changed.isEmpty():
+        estimates = written(_factored(moments, keys, floors), "estimates")
+        if estimates.filter(F.coalesce(F.abs(F.col("logdet") - F.col("old")) > 1e-6, F.lit(True))).isEmpty():
             break
-    return estimates
+    return estimates.drop("old")
 
 
 def quality_verdicts(
