@@ -6,13 +6,15 @@ new version of the table out next to a per-request result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..plans.skew import DEFAULT_HOT_ROWS, numbered
+from ..plans.skew import CHUNK, DEFAULT_HOT_ROWS, OrderedGroups, numbered
 from ..session import last_key_wins, written
 from .routing import with_route
 
@@ -158,6 +160,67 @@ def _put_if_absent(
     return TableChange(cells.select(*CELL_VALUE).unionByName(inserted), results)
 
 
+def _keyed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[tuple], list[list]]]:
+    """Each batch with the group of every row (its first ``width`` columns) and the other columns as lists."""
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        yield batch, list(zip(*columns[:width])), columns[width:]
+
+
+def _chunk_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where each state that a chunk's requests expect ends up after the chunk, from its requests in reverse order."""
+    width, group, ends, names = len(CELL) + 1, None, {}, [*CELL, CHUNK, "_rv_from", "_rv_to"]
+
+    def finished() -> pa.RecordBatch:
+        rows = [(*group, start, end) for start, end in ends.items()]
+        types = [pa.string()] * len(CELL) + [pa.int32(), pa.string(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    for _, groups, (expected, value) in _keyed(batches, width):
+        for here, start, end in zip(groups, expected, value):
+            if here != group:
+                if ends:
+                    yield finished()
+                group, ends = here, {}
+            # what follows the request was folded before: it decides where the new value ends up
+            ends[start] = ends.get(end, end)
+    if ends:
+        yield finished()
+
+
+def _chunk_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The state of a cell at the beginning of each of its chunks; a chunk's first row only names it."""
+    cell, state, after = None, None, None
+    for batch, groups, (first, start, end, old) in _keyed(batches, len(CELL) + 1):
+        found = []
+        for here, head, a, b, o in zip(groups, first, start, end, old):
+            if head == 0:
+                state = o if here[:-1] != cell else after
+                cell, after = here[:-1], state
+                found.append((*here, state))
+            elif a == state:
+                after = b
+        types = [pa.string()] * len(CELL) + [pa.int32(), pa.string()]
+        columns = list(zip(*found)) or [[]] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [*CELL, CHUNK, "_rv_entry"])
+
+
+def _outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with each request decided, in order, starting from its chunk's first state."""
+    group, state = None, None
+    for batch, groups, (expected, value, entry, *_) in _keyed(batches, len(CELL) + 1):
+        decided = []
+        for here, a, b, o in zip(groups, expected, value, entry):
+            if here != group:
+                group, state = here, o
+            put = a == state and None not in here
+            state = b if put else state
+            decided.append("put" if put else "refused")
+        # the row itself travels in the last column
+        row = batch.column(batch.num_columns - 1)
+        yield pa.RecordBatch.from_arrays([row, pa.array(decided, pa.string())], ["_rv_request", "outcome"])
+
+
 def kt_check_and_put(
     cells: DataFrame,
     requests: DataFrame,
@@ -166,19 +229,52 @@ def kt_check_and_put(
 ) -> TableChange:
     """Replace a cell only while it holds ``expected`` (null: only while absent).
 
-    ``outcome`` is ``put`` or ``refused``; of several requests for one cell in a call only the first is decided,
-    the others lost the race and come back as ``retry``.
+    Requests for one cell are decided one after the other, by ``order_by``, then value and expected; each sees what
+    those before it left. ``outcome`` is ``put`` or ``refused``; a request that does not name its cell is refused. A chunk of a hot cell is first summed up as where each
+    expected state would end up; one pass over those gives the state at each chunk's beginning. Memory: one such
+    summary, of at most a chunk's distinct expected values.
     """
+    by, order = [*CELL, CHUNK], [*order_by, "value", "expected"]
     old = cells.groupBy(*CELL).agg(F.max("value").alias("_rv_old"))
-    groups = numbered(requests, CELL, order_by, hot_rows)
-    joined = groups.result().drop("_rv_count").join(old, CELL, "left")
-    outcome = (
-        F.when(F.col("_rv_index") > 1, F.lit("retry"))
-        .when(F.col("_rv_old").eqNullSafe(F.col("expected")), F.lit("put"))
-        .otherwise(F.lit("refused"))
+    asked = requests.withColumn("_rv_request", F.struct(*requests.columns))
+    groups = OrderedGroups(asked, CELL, order, hot_rows)
+    places = groups.order
+    plain = [*[F.col(c).cast("string").alias(c) for c in CELL], CHUNK, F.col("expected").cast("string").alias("expected"),
+             F.col("value").cast("string").alias("value")]
+    work = groups.df.select(*plain, "_rv_request", *places).join(old, CELL, "left").withColumnRenamed("_rv_old", "_rv_entry")
+    if groups.bounds is not None:
+        hot = groups.bounds.select(*[F.col(k).cast("string").alias(c) for k, c in zip(groups.keys, CELL)])
+        steps = (
+            groups.df.select(*plain, *places).join(F.broadcast(hot), CELL, "left_semi")
+            .repartition(*by).sortWithinPartitions(*by, *[F.desc(p) for p in places]).select(*by, "expected", "value")
+            .mapInArrow(_chunk_steps, "row_key string, family string, qualifier string, _rv_chunk int, _rv_from string, _rv_to string")
+        )
+        steps = written(steps, "steps")
+        # only the old value and what a chunk can leave behind are ever a state at a chunk's beginning
+        reached = steps.select(*CELL, F.col("_rv_to").alias("_rv_from")).unionByName(
+            steps.select(*CELL).distinct().join(old, CELL, "left").withColumnRenamed("_rv_old", "_rv_from")
+        ).distinct().toDF(*[f"{c}_r" for c in CELL], "_rv_r")
+        same = [steps[c] == reached[f"{c}_r"] for c in CELL]
+        usable = steps.join(reached, [*same, steps["_rv_from"].eqNullSafe(reached["_rv_r"])], "left_semi")
+        heads = steps.select(*by).distinct().withColumns({"_rv_from": F.lit(None).cast("string"), "_rv_to": F.lit(None).cast("string")})
+        entries = (
+            heads.withColumn("_rv_first", F.lit(0)).unionByName(usable.withColumn("_rv_first", F.lit(1)))
+            .join(old, CELL, "left").repartition(*CELL).sortWithinPartitions(*by, "_rv_first")
+            .select(*by, "_rv_first", "_rv_from", "_rv_to", "_rv_old")
+            .mapInArrow(_chunk_entries, "row_key string, family string, qualifier string, _rv_chunk int, _rv_entry string")
+        )
+        # one row per chunk: fewer than three times the slices of the groups
+        entries = entries.select(*by, F.col("_rv_entry").alias("_rv_later"), F.lit(True).alias("_rv_cut"))
+        work = work.join(F.broadcast(entries), by, "left").withColumn(
+            "_rv_entry", F.when(F.col("_rv_cut"), F.col("_rv_later")).otherwise(F.col("_rv_entry"))
+        )
+    decided = (
+        work.repartition(*by).sortWithinPartitions(*by, *places).select(*by, "expected", "value", "_rv_entry", "_rv_request")
+        .mapInArrow(_outcomes, StructType([asked.schema["_rv_request"], StructField("outcome", StringType())]))
     )
-    results = joined.withColumn("outcome", outcome).drop("_rv_index", "_rv_old")
-    return TableChange(kt_put(cells, results.filter("outcome = 'put'").select(*CELL_VALUE)), results)
+    results = decided.select("_rv_request.*", "outcome")
+    puts = results.filter("outcome = 'put'")
+    return TableChange(kt_put(cells, puts, order), results)
 
 
 def _matching_rows(cells: DataFrame, having: Column, value: Column) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import csv_quote
-from ..functions.template import constants, quoted, render_template, rerender
+from ..functions.template import REFERENCE, constants, quoted, render_template, rerender
 from ..session import last_key_wins
 from .routing import failing, with_route
 
@@ -30,6 +30,25 @@ def content_to_column(df: DataFrame, name: str, expression: str | Column | None
     return with_route(out, "success")
 
 
+def _refers_to_itself(text: Column, holders: list[str]) -> Column:
+    """Whether references lead from ``text`` round in a circle: some are left after a step for each holder."""
+    if not holders:
+        return F.lit(False)
+
+    def names(value: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(F.coalesce(value, F.lit("")), F.lit(REFERENCE), F.lit(1)))
+
+    leads = F.create_map(*[part for c in holders for part in (F.lit(c), names(quoted(c)))])
+    none = F.array().cast("array<string>")
+    left = F.aggregate(
+        F.sequence(F.lit(1), F.lit(len(holders) + 1)), names(text),
+        lambda open_, _: F.when(F.size(open_) == 0, open_).otherwise(
+            F.array_distinct(F.flatten(F.transform(open_, lambda n: F.coalesce(F.try_element_at(leads, n), none))))
+        ),
+    )
+    return F.size(left) > 0
+
+
 def update_columns(
     df: DataFrame,
     content: str | None = None,
@@ -38,12 +57,13 @@ def update_columns(
     eval_content: bool = False,
     eval_columns: bool = False,
     recursive: bool = False,
-    max_depth: int = 8,
 ) -> DataFrame:
     """Set the content and/or columns from text, in order, so that later ones see earlier updates.
 
-    Evaluated text has its ``${name}`` parts filled in. With ``recursive`` the result is evaluated again
-    until it no longer changes; a row still changing after ``max_depth`` rounds goes to ``failure``.
+    Evaluated text has its ``${name}`` parts filled in. With ``recursive`` the result is evaluated again until it no
+    longer changes. Text that refers to itself, directly or through other columns, would never settle: such a row goes
+    to ``failure`` and keeps what it had. Any other text settles within one round for each column that can hold a
+    reference, one more, and one for each reference inside another's name.
     """
     unsettled: list[Column] = []
     helpers: list[str] = []
@@ -54,15 +74,25 @@ def update_columns(
         known = [c for c in out.columns if c not in helpers]
         if not recursive:
             return out.withColumn(name, render_template(text, known))
-        now, last = f"_rv_now{len(helpers)}", f"_rv_last{len(helpers)}"
-        out = out.withColumn(last, render_template(text, known))
-        for _ in range(max_depth - 1):
-            out = out.withColumn(now, rerender(F.col(last), known)).withColumnsRenamed({last: "_rv_drop", now: last})
-            out = out.drop("_rv_drop")
-        out = out.withColumn(now, rerender(F.col(last), known))
-        helpers.extend([now, last])
-        unsettled.append(F.col(now) != F.col(last))
-        return out.withColumn(name, F.regexp_replace(F.col(now), r"\$\{[^{}]*\}", ""))
+        start, loops, now = [f"_rv_{part}{len(helpers)}" for part in ("start", "loops", "now")]
+        holders = [c for c in known if out.schema[c].dataType == T.StringType()]
+        out = out.withColumn(start, render_template(text, known))
+        out = out.withColumn(loops, _refers_to_itself(F.col(start), holders))
+        rounds = len(holders) + 1 + F.regexp_count(F.col(start), F.lit(r"\$\{"))
+        settled = F.aggregate(
+            F.sequence(F.lit(1), rounds), F.col(start),
+            lambda so_far, _: F.when(so_far.contains("${"), rerender(so_far, known)).otherwise(so_far),
+        )
+        out = out.withColumn(now, F.when(~F.col(loops), settled))
+        helpers.extend([start, loops, now])
+        # references put together from parts are not seen beforehand
+        bad = F.col(loops) | (F.col(now) != rerender(F.col(now), known))
+        kept = quoted(name).cast("string") if name in known else F.lit(None).cast("string")
+        failed = f"_rv_bad{len(helpers)}"
+        helpers.append(failed)
+        unsettled.append(F.col(failed))
+        out = out.withColumn(failed, bad)
+        return out.withColumn(name, F.when(F.col(failed), kept).otherwise(F.regexp_replace(now, r"\$\{[^{}]*\}", "")))
 
     out = df
     if content:
@@ -71,7 +101,7 @@ def update_columns(
         out = assign(out, name, text, eval_columns)
     reason = F.lit(None).cast("string")
     for flag in unsettled:
-        reason = F.when(flag, F.lit(f"text still changes after {max_depth} rounds")).otherwise(reason)
+        reason = F.when(flag, F.lit("the text refers to itself; no number of rounds settles it")).otherwise(reason)
     return failing(out, reason).drop(*helpers)
 
 

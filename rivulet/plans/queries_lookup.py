@@ -448,8 +448,9 @@ def get_and_put(spark, sf_dir):
 @query(
     "kt_check_and_put",
     f"""
-    {_IF_ABSENT} select o_orderkey, case when turn > 1 then 'retry'
-      when old is not distinct from case when qualifier = 'segment' then 'BUILDING' end then 'put' else 'refused' end as outcome
+    {_IF_ABSENT} select o_orderkey, case
+      when turn = 1 and old is not distinct from case when qualifier = 'segment' then 'BUILDING' end then 'put'
+      else 'refused' end as outcome
     from requests
     """,
 )
@@ -477,6 +478,34 @@ def check_and_put_table(spark, sf_dir):
     return kt_check_and_put(customer_cells(spark, sf_dir), requests, ["o_orderkey"]).cells
 
 
+@query(
+    "kt_check_and_put_chain",
+    """
+    with recursive asked as (
+      select o_orderkey, o_custkey, o_orderstatus as v, case o_orderkey % 3 when 0 then 'F' when 1 then 'O' end as e,
+             row_number() over (partition by o_custkey order by o_orderkey) as turn from orders),
+    decided as (
+      select o_orderkey, o_custkey, turn, case when e is null then v end as state,
+             case when e is null then 'put' else 'refused' end as outcome from asked where turn = 1
+      union all
+      select a.o_orderkey, a.o_custkey, a.turn, case when a.e is not distinct from d.state then a.v else d.state end,
+             case when a.e is not distinct from d.state then 'put' else 'refused' end
+      from asked a join decided d on a.o_custkey = d.o_custkey and a.turn = d.turn + 1)
+    select o_orderkey, outcome from decided
+    """,
+)
+def check_and_put_chain(spark, sf_dir):
+    """Requests that expect what earlier ones of the same call left behind."""
+    number = F.col("o_orderkey") % 3
+    requests = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("row_key"), F.lit("g").alias("family"), F.lit("state").alias("qualifier"),
+        F.col("o_orderstatus").alias("value"), F.when(number == 0, F.lit("F")).when(number == 1, F.lit("O")).alias("expected"),
+        "o_orderkey",
+    )
+    change = kt_check_and_put(customer_cells(spark, sf_dir), requests, ["o_orderkey"])
+    return change.results.select("o_orderkey", "outcome")
+
+
 @query(
     "kt_get_by_filter",
     "select 1 as rows_found, c_mktsegment as value, 'success' as route from customer where c_name = 'Customer#000000007'",
@@ -495,6 +524,15 @@ def last_by_filter(spark, sf_dir):
     return kt_last_cell_by_filter(customer_cells(spark, sf_dir), many).select("rows_found", "value", "route")
 
 
+@query(
+    "kt_last_cell_by_filter_value",
+    "select 1 as rows_found, c_mktsegment as value, 'success' as route from customer where c_name = 'Customer#000000007'",
+)
+def last_by_filter_value(spark, sf_dir):
+    one = (F.col("qualifier") == "name") & (F.col("value") == "Customer#000000007")
+    return kt_last_cell_by_filter(customer_cells(spark, sf_dir), one).select("rows_found", "value", "route")
+
+
 @query(
     "kt_remove",
     f"with {_CELLS} select * from cells where row_key not in (select cast(s_suppkey as varchar) from supplier)",

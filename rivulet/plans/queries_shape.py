@@ -13,6 +13,7 @@ from ..operators import (
     json_to_csv,
     promote,
     route_counts,
+    split_routes,
     update_columns,
     validate_xml,
     xml_extract,
@@ -189,10 +190,45 @@ def set_recursive(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", F.lit("").alias("content"), F.lit("Dear ${hop2}").alias("hop1"), hop2.alias("hop2")
     )
-    out = update_columns(customer, "${hop1}", eval_content=True, recursive=True, max_depth=5)
+    out = update_columns(customer, "${hop1}", eval_content=True, recursive=True)
     return out.select("c_custkey", "route", F.when(F.col("route") == "success", F.col("content")).alias("content"))
 
 
+@query(
+    "update_columns_deep",
+    """
+    select c_custkey, case when c_mktsegment = 'BUILDING' then 'old' else 'at ' || c_name end as content,
+           case when c_mktsegment = 'BUILDING' then 'failure' else 'success' end as route from customer
+    """,
+)
+def set_deep(spark, sf_dir):
+    """Twelve hops, each to an earlier column; for one segment the first leads back to the last."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", F.lit("old").alias("content"))
+    first = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("${hop12}")).otherwise(F.lit("${c_name}"))
+    hops = customer.withColumn("hop1", first)
+    hops = hops.withColumns({f"hop{i}": F.lit(f"${{hop{i - 1}}}") for i in range(2, 13)})
+    out = update_columns(hops, "at ${hop12}", eval_content=True, recursive=True)
+    return out.select("c_custkey", "content", "route")
+
+
+@query(
+    "split_routes",
+    """
+    select event_id, k from (
+      select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, event_id % 3 = 0 as bad from events) where not bad
+    union all
+    select event_id, null from events where event_id % 3 = 0
+    """,
+)
+def by_route(spark, sf_dir):
+    """Broken texts in every third row; both outputs put together again."""
+    events = table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 3 == 0, F.lit("{broken")).otherwise(F.col("props"))
+    out = json_to_columns(events.select("event_id", text.alias("props")), "props", fields={"k": "bigint"}, fragments="never", emit_original=False)
+    parts = split_routes(out, ["success", "failure"])
+    return parts["success"].select("event_id", "k").unionByName(parts["failure"].select("event_id", F.lit(None).cast("bigint").alias("k")))
+
+
 @query(
     "xml_extract",
     """

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,13 +76,36 @@ def test_put_and_if_absent(spark, cells):
 
 def test_check_and_put(spark, cells):
     req = spark.createDataFrame(
-        [("r1", "f", "a", "9", "1", 1), ("r1", "f", "a", "8", "9", 2), ("r2", "f", "a", "9", "0", 1), ("r7", "f", "a", "n", None, 1)],
+        [("r1", "f", "a", "9", "1", 1), ("r1", "f", "a", "8", "9", 2), ("r2", "f", "a", "9", "0", 1), ("r7", "f", "a", "n", None, 1), (None, "f", "a", "z", None, 1)],
         "row_key string, family string, qualifier string, value string, expected string, ord int",
     )
     change = kt_check_and_put(cells, req, ["ord"])
     assert {(r.row_key, r.value, r.outcome) for r in change.results.collect()} == {
-        ("r1", "9", "put"), ("r1", "8", "retry"), ("r2", "9", "refused"), ("r7", "n", "put")}
-    assert as_set(change.cells) == (set(CELLS) - {CELLS[0]}) | {("r1", "f", "a", "9"), ("r7", "f", "a", "n")}
+        ("r1", "9", "put"), ("r1", "8", "put"), ("r2", "9", "refused"), ("r7", "n", "put"), (None, "z", "refused")}
+    assert as_set(change.cells) == (set(CELLS) - {CELLS[0]}) | {("r1", "f", "a", "8"), ("r7", "f", "a", "n")}
+
+
+@pytest.mark.parametrize("hot_rows", [20, 1_000_000])
+def test_check_and_put_decides_every_request_in_order(spark, cells, hot_rows):
+    rng = random.Random(3)
+    states = [None, "1", "2", "3", "4"]
+    asked = [
+        ("r1" if rng.random() < 0.6 else f"r{rng.randrange(2, 6)}", "f", "a", rng.choice(states[1:]), rng.choice(states), i)
+        for i in range(600)
+    ]
+    # a counter: each request expects what the one before it left
+    asked += [("count", "f", "n", str(i + 1), str(i) if i else None, i) for i in range(300)]
+    now, expected = {c[:3]: c[3] for c in CELLS}, {}
+    for row, family, name, value, wanted, i in sorted(asked, key=lambda r: r[5]):
+        put = now.get((row, family, name)) == wanted
+        if put:
+            now[row, family, name] = value
+        expected[row, i] = "put" if put else "refused"
+    frame = spark.createDataFrame(asked, "row_key string, family string, qualifier string, value string, expected string, ord int")
+    change = kt_check_and_put(cells, frame.repartition(7), ["ord"], hot_rows)
+    assert {(r.row_key, r.ord): r.outcome for r in change.results.collect()} == expected
+    assert as_set(change.cells) == {(*k, v) for k, v in now.items()}
+    assert kt_check_and_put(cells, frame.limit(0), ["ord"]).results.count() == 0
 
 
 def test_by_filter(cells):

@@ -38,7 +38,17 @@ def test_update_columns_recursive_reaches_fixed_point_or_fails(spark):
     df = spark.createDataFrame([("x", "${b}", "${c}", "end"), ("x", "${b}+", "${a}", "end")], "content string, a string, b string, c string")
     rows = update_columns(df, "${a}", eval_content=True, recursive=True).collect()
     assert (rows[0].content, rows[0].route) == ("end", "success")
-    assert rows[1].route == "failure" and "rounds" in rows[1].failure_reason
+    assert rows[1].route == "failure" and "rounds" in rows[1].failure_reason and rows[1].content == "x"
+
+
+def test_update_columns_recursive_reaches_any_depth(spark):
+    names = [f"h{i}" for i in range(12)]
+    chain = ["end", *[f"${{h{i - 1}}}" for i in range(1, 12)]]
+    df = spark.createDataFrame([("x", *chain), (None, "${h11}${h11}", *chain[1:]), ("x", None, *chain[1:])], f"content string, {' string, '.join(names)} string")
+    rows = update_columns(df, "<${h11}>", {"new": "${h3}"}, eval_content=True, eval_columns=True, recursive=True).collect()
+    assert [(r.content, r.new, r.route) for r in rows] == [("<end>", "end", "success"), (None, None, "failure"), ("<>", "", "success")]
+    nested = spark.createDataFrame([("x", "b", "${${a}}", "end")], "content string, a string, c string, b string")
+    assert update_columns(nested, "${c}", eval_content=True, recursive=True).first().content == "end"
 
 
 def test_columns_to_json_prefix_regex_list_and_constants(spark):
