@@ -105,7 +105,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    """Delete one file; True when it was there."""
+def delete_path(spark: SparkSession, path: str, recursive: bool = False) -> bool:
+    """Delete one file, or with ``recursive`` a folder; True when it was there."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, False)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, recursive)

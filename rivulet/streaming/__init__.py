@@ -1,5 +1,6 @@
 from .stateful import (
     StateTable,
+    Step,
     apply_per_batch,
     run_stateful,
     stream_assign_sequence,

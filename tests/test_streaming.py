@@ -78,6 +78,25 @@ def test_replayed_batch_finds_the_same_state(spark, tmp_path):
     assert {tuple(r) for r in state.read(5).collect()} == {("a", 2)}
 
 
+def test_a_batch_reads_the_state_of_its_keys_only(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "s"), "sequence", compact_every=2, buckets=16)
+    step = stream_assign_sequence("key", ["ord"])
+    many = spark.range(500).selectExpr("id as ord", "concat('k', id) as key")
+    few = spark.createDataFrame([(1, "k7"), (2, "new"), (3, None), (4, "k7")], "ord long, key string")
+    for n, batch in enumerate([many, few, few]):
+        state.remove_superseded(n)
+        before = state.read(n, batch.select(step.key().alias("sequence")))
+        if n == 1:
+            assert before.collect() == [("k7", 1)]
+        elif n == 2:
+            assert {tuple(r) for r in before.collect()} == {("k7", 3), ("new", 1), (None, 1)}
+        state.write(n, step(batch, before).state)
+    # the full version of batch 1 covers the two deltas before it, which went when batch 2 began
+    assert sorted(os.listdir(tmp_path / "s")) == ["delta-000000000002", "full-000000000001"]
+    everything = {r.sequence: r.current for r in state.read(3).collect()}
+    assert len(everything) == 502 and (everything["k7"], everything["new"], everything[None], everything["k8"]) == (5, 2, 2, 1)
+
+
 def test_sink_per_batch_applies_changes(spark, tmp_path):
     src, table = str(tmp_path / "in"), str(tmp_path / "table")
     text = '{"table":"s.t","op_type":"U","pos":"%02d","before":{"id":1},"after":{"id":1,"n":"%s"}}'
