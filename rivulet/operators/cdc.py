@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from ..functions.scalars import apply_case, apply_case_text, map_column_name_exp
 from ..functions.template import constants as constant_columns
 from ..session import last_key_wins
 from .routing import with_route
-from .shape import OBJECT, as_texts, is_nested
+from .shape import OBJECT, as_texts, is_nested, listed, only_element
 
 # Change kinds and the route of any other kind.
 INSERT, UPDATE, DELETE = "I", "U", "D"
@@ -20,10 +20,23 @@ UNSUPPORTED = "unsupported op_type"
 CHANGE = f"table string, op_type string, pos string, primary_keys array<string>, before {OBJECT}, after {OBJECT}"
 
 
-def _parsed(source: str) -> Column:
-    """The change record, its images as text per column; numbers keep all their digits, nested values stay JSON."""
-    record = F.from_json(F.col(source), CHANGE)
-    return record.withField("before", as_texts(record["before"])).withField("after", as_texts(record["after"]))
+def _with_record(df: DataFrame, source: str, members: str, build: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with ``_rv_c``, the change record as ``build`` makes it; null where the text is not one record and no more.
+
+    A generator stands between the parsing and its uses: a filter on a route made from the record would otherwise be
+    pushed below and parse the text again.
+    """
+    parsed = F.transform(F.from_json(listed(F.col(source).cast("string")), f"array<struct<{members}>>"), build)
+    made = F.explode_outer(F.array(F.struct(parsed.alias("all"))))
+    return df.select("*", made.alias("_rv_made")).withColumn("_rv_c", only_element(F.col("_rv_made.all"))).drop("_rv_made")
+
+
+def _with_texts(df: DataFrame, source: str) -> DataFrame:
+    """``_rv_c`` with its images as text per column; numbers keep all their digits, nested values stay JSON."""
+    return _with_record(
+        df, source, CHANGE,
+        lambda r: r.withField("before", as_texts(r["before"])).withField("after", as_texts(r["after"])),
+    )
 
 
 def merge_change_images(
@@ -50,9 +63,8 @@ def merge_change_images(
     header_fields = [f for f in dict.fromkeys(header_fields) if f not in ("primary_keys", "before", "after")]
     # Maps keep the key order of the text; a variant member is null when absent, a JSON null when explicit.
     members = [f"`{f}` variant" for f in dict.fromkeys(["table", "op_type", *header_fields])]
-    parsed = F.from_json(F.col(source), ", ".join([*members, f"before {OBJECT}", f"after {OBJECT}"]))
-    work = df.withColumn("_rv_doc", parsed)
-    doc = F.col("_rv_doc")
+    work = _with_record(df, source, ", ".join([*members, f"before {OBJECT}", f"after {OBJECT}"]), lambda r: r)
+    doc = F.col("_rv_c")
     table = apply_case(override_schema(doc["table"].try_cast("string"), target_schema), case)
     nothing = F.create_map().cast(OBJECT)
     parts = []
@@ -86,7 +98,7 @@ def merge_change_images(
     # A variant object holds its fields sorted by name.
     text = F.to_json(F.to_variant_object("_rv_merged"))
     out = out.withColumn(into, F.when(F.col("route") == "success", text).otherwise(kept))
-    return out.drop("_rv_doc", "_rv_merged", "_rv_op", "_rv_table")
+    return out.drop("_rv_c", "_rv_merged", "_rv_op", "_rv_table")
 
 
 def changes_to_sql(
@@ -105,7 +117,7 @@ def changes_to_sql(
     ``column_map`` maps ``table.column`` (the table without its schema) to a target name. Routes: ``success``,
     ``unsupported op_type``, ``skipped`` (an update with nothing but key columns) and ``failure``.
     """
-    work = df.withColumn("_rv_c", _parsed(source))
+    work = _with_texts(df, source)
     work = work.select("*", *[F.col(f"_rv_c.{n}").alias(f"_rv_{n}") for n in ("table", "op_type", "before", "after")])
     if key_columns:
         given = key_columns.split(",") if isinstance(key_columns, str) else list(key_columns)
@@ -177,14 +189,12 @@ def apply_changes(
     Changes of a key apply in the order of ``order_by`` (a column of ``changes`` or a field of the record): an
     insert starts the row afresh, an update overlays just the columns present in ``after``, a delete removes the
     row. An update of a row that is not there, or no longer, changes nothing, as its DML statement would; a change
-    without its key is passed over, and a value that cannot be converted leaves the stored one. ``table`` limits the
-    changes to those of one table (as named in the records); ``pos`` is compared as text. The changes of a key are
+    without its key or its place in the order is passed over, and a value that cannot be converted leaves the stored
+    one. ``table`` limits the changes to those of one table (as named in the records); ``pos`` is compared as text. The changes of a key are
     folded by one partial aggregation, however many there are.
     """
-    record = _parsed(source)
     order = F.col(order_by) if order_by in changes.columns else F.col(f"_rv_c.{order_by}")
-    # Unknown kinds are passed over inside the aggregation: a filter would parse every record once more.
-    work = changes.withColumn("_rv_c", record)
+    work = _with_texts(changes, source)
     op, after = F.col("_rv_c.op_type"), F.col("_rv_c.after")
     image = F.coalesce(F.when(op == INSERT, after).otherwise(F.col("_rv_c.before")), after)
     fields = {f.name: f.dataType for f in target.schema.fields}

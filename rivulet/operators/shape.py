@@ -191,6 +191,17 @@ def as_texts(entries: Column) -> Column:
     return F.transform_values(entries, lambda k, v: v.try_cast("string"))
 
 
+def listed(text: Column) -> Column:
+    """The text as what a JSON array lists. Parsed alone, what follows its first document would go unseen; parsed like
+    this it spoils the array or makes a second element."""
+    return F.concat(F.lit("["), text, F.lit("\n]"))
+
+
+def only_element(parsed: Column) -> Column:
+    """The element of an array of one; null for any other."""
+    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+
+
 def variant_path(name: str) -> str:
     """Path of a top-level field whatever characters its name holds."""
     return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
@@ -216,32 +227,34 @@ def json_to_columns(
     dropped. The names differ per row, so they come as a map column ``into``; give ``fields`` (name to
     type) to get ordinary typed columns instead. ``always_add`` gives every record the new names of ``rename``
     (or the names listed), empty where the record lacks them. ``fragments`` is ``always``, ``never`` or ``arrays``.
-    Routes: ``success`` rows, the ``original`` row, and ``failure`` where the text is no object or array.
+    Routes: ``success`` rows, the ``original`` row, and ``failure`` where the text is no
+    object or array, or has anything after it.
     """
     if fragments not in ("always", "never", "arrays"):
         raise ValueError("fragments must be always, never or arrays")
     last_key_wins(df)
     rename = dict(rename or {})
-    work = df.withColumn("_rv_json", F.from_json(F.col(source), "variant", LAX_JSON if lax else {}))
+    parsed = F.from_json(listed(F.col(source).cast("string")), "array<variant>", LAX_JSON if lax else {})
+    work = df.withColumn("_rv_all", parsed).withColumn("_rv_json", only_element(F.col("_rv_all")))
     work = work.withColumn("_rv_list", F.col("_rv_json").try_cast("array<variant>"))
     json, elements = F.col("_rv_json"), F.col("_rv_list")
     is_array = elements.isNotNull()
     if fields:
         # The objects stay variants; each declared field is then one path into them.
-        listed = F.filter(elements, lambda e: e.try_cast(OBJECT).isNotNull())
+        objects = F.filter(elements, lambda e: e.try_cast(OBJECT).isNotNull())
         alone = F.when(json.try_cast(OBJECT).isNotNull(), F.array(json))
     else:
-        listed = F.filter(F.transform(elements, lambda e: e.try_cast(OBJECT)), lambda m: m.isNotNull())
+        objects = F.filter(F.transform(elements, lambda e: e.try_cast(OBJECT)), lambda m: m.isNotNull())
         # A scalar casts to null, which the filter then takes out.
         one = F.array_compact(F.array(json.try_cast(OBJECT)))
         alone = F.when(F.size(one) == 1, one)
     work = work.withColumns(
         {
-            "_rv_records": F.when(is_array, listed).otherwise(alone),
+            "_rv_records": F.when(is_array, objects).otherwise(alone),
             "_rv_array": is_array,
             "_rv_valid": json.isNotNull(),
         }
-    ).drop("_rv_json", "_rv_list")
+    ).drop("_rv_all", "_rv_json", "_rv_list")
     reason = F.when(~F.col("_rv_valid"), F.lit("the text is not valid JSON")).when(
         F.col("_rv_records").isNull(), F.lit("the JSON is not an array or an object")
     )
@@ -395,19 +408,19 @@ def json_to_csv(
     """JSON object, array of objects, or array of texts that hold objects, to CSV text.
 
     ``fields`` picks and orders the columns; a missing or null value is empty. An empty array gives empty
-    text without a header. An element that is no object sends the row to ``failure``.
+    text without a header. An element that is no object sends the row to ``failure``, as does text after the document.
     """
     names = csv_fields(fields)
     text = F.trim(F.col(source))
     as_list = F.from_json(F.col(source), "array<string>", LAX_JSON)
     elements = F.when(F.startswith(text, F.lit("[")), as_list).when(F.startswith(text, F.lit("{")), F.array(F.col(source)))
     # A lone scalar is valid JSON with nothing to list: only the header comes out.
-    scalar = F.from_json(F.col(source), "variant", LAX_JSON).isNotNull()
+    whole = F.size(F.from_json(listed(F.col(source).cast("string")), "array<string>", LAX_JSON)) == 1
     empty = F.array().cast("array<string>")
-    work = df.withColumn("_rv_items", F.coalesce(elements, F.when(~F.rlike(text, F.lit(r"^[\[{]")) & scalar, empty)))
-    work = work.withColumn(
-        "_rv_records", F.transform("_rv_items", lambda e: as_texts(F.from_json(e, OBJECT, LAX_JSON)))
-    )
+    items = F.coalesce(elements, F.when(~F.rlike(text, F.lit(r"^[\[{]")), empty))
+    work = df.withColumn("_rv_items", F.when(whole, items))
+    found = F.transform("_rv_items", lambda e: F.from_json(listed(e), f"array<{OBJECT}>", LAX_JSON))
+    work = work.withColumn("_rv_records", F.transform(found, lambda one: as_texts(only_element(one))))
 
     def line(record: Column) -> Column:
         cells = [csv_quote(F.try_element_at(record, F.lit(name)), quoted) for name in names]

@@ -114,3 +114,15 @@ def test_numbers_keep_all_digits(spark):
     )
     target = spark.createDataFrame([], "id int, p decimal(20,2)")
     assert str(apply_changes(target, df, ["id"]).first().p) == "12345678901234567.89"
+
+
+def test_records_are_parsed_once_and_whole(spark):
+    good = '{"table":"s.t","op_type":"I","pos":"1","after":{"id":1}}'
+    df = spark.createDataFrame([(1, good), (2, good + " junk"), (3, good + good), (4, good + "," + good), (5, ""), (6, None)], "n int, content string")
+    for out in (merge_change_images(df), changes_to_sql(df)):
+        kept = out.filter("route = 'success'")
+        assert [r.n for r in kept.collect()] == [1] and out.filter("route = 'failure'").count() == 5
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+    target = spark.createDataFrame([], "id long")
+    assert [tuple(r) for r in apply_changes(target, df, ["id"]).collect()] == [(1,)]

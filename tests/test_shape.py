@@ -181,3 +181,14 @@ def test_stateless_operators_accept_a_stream(spark, tmp_path):
 def test_json_to_csv_keeps_all_digits(spark):
     df = contents(spark, '{"a": 12345678901234567.89, "b": {"k": "v"}}')
     assert json_to_csv(df, ["a", "b"], header=False, quoted=False).first().content == '12345678901234567.89,{"k":"v"}'
+
+
+def test_text_after_the_document_fails(spark):
+    texts = ['{"a":1}', ' {"a":1} // end', '{"a":1} junk', '{"a":1}{"b":2}', '{"a":1},{"b":2}', "", None, '[{"a":1}]', '[{"a":1}] x']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, content string")
+    flat = json_to_columns(df, fields={"a": "int"}, fragments="never", emit_original=False)
+    assert {(r.n, r.a, r.route) for r in flat.collect()} == {(i, 1 if i in (0, 1, 7) else None, "success" if i in (0, 1, 7) else "failure") for i in range(9)}
+    csv = {r.n: (r.route, r.content) for r in json_to_csv(df, ["a"], header=False).collect()}
+    assert {n: c for n, (route, c) in csv.items() if route == "success"} == {0: '"1"', 1: '"1"', 7: '"1"'}
+    held = spark.createDataFrame([('["{\\"a\\":1} junk"]',)], "content string")
+    assert json_to_csv(held, ["a"]).first().route == "failure"
