@@ -190,8 +190,8 @@ def apply_changes(
     insert starts the row afresh, an update overlays just the columns present in ``after``, a delete removes the
     row. An update of a row that is not there, or no longer, changes nothing, as its DML statement would; a change
     without its key or its place in the order is passed over, and a value that cannot be converted leaves the stored
-    one. ``table`` limits the changes to those of one table (as named in the records); ``pos`` is compared as text. The changes of a key are
-    folded by one partial aggregation, however many there are.
+    one. ``table`` limits the changes to those of one table (as named in the records); ``pos`` is compared as text.
+    The changes of a key are folded by one partial aggregation, however many there are.
     """
     order = F.col(order_by) if order_by in changes.columns else F.col(f"_rv_c.{order_by}")
     work = _with_texts(changes, source)
