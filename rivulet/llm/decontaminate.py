@@ -5,7 +5,9 @@ each occurrence one vote) and looked up in an index of the items' fingerprints:
 and since whatever is within ``radius`` differs by at most radius // BLOCKS bits in one of them, each part's table holds
 all values that near to an item's. So every item within the radius is found; candidates count if the weighted Jaccard
 similarity of their five-word shingles (repeats counted) reaches the threshold. A window without any shingle of an item
-has similarity zero to all, so only windows that hold one are fingerprinted; nothing else is skipped.
+has similarity zero to all, so only windows that hold one are fingerprinted. The radius does not hold all windows of the
+threshold's similarity, so every window that holds enough of an item's shingles to reach the threshold is a candidate too,
+whatever its fingerprint; nothing is missed.
 
 One changed word moves four fingerprint bits of a 50-word item on average, and seven or eight of a 15-word item; the
 radius of 15 is twice that. Items are taken in blocks of BLOCK_WORDS words, each broadcast and searched against all rows.
@@ -98,6 +100,23 @@ class Items:
         pairs = np.unique(np.concatenate(found))
         return pairs // len(self.ids), pairs % len(self.ids)
 
+    def reaching(
+        self, items: np.ndarray, spots: np.ndarray, length: int, real: int, width: int, least: float
+    ) -> set[tuple[int, int]]:
+        """(start, item) of all windows of ``real`` words that hold enough of an item's shingles to reach ``least``."""
+        out: set[tuple[int, int]] = set()
+        order = np.lexsort((spots, items))
+        items, spots = items[order], spots[order]
+        cuts = np.flatnonzero(np.append(True, items[1:] != items[:-1]))
+        for a, b in zip(cuts, np.append(cuts[1:], len(items))):
+            item, own = int(items[a]), spots[a:b]
+            need = least * (real - width + 1 + len(self.grams[item])) / (1 + least) - 1e-9
+            if b - a >= need:
+                starts = np.arange(max(0, int(own[0]) - (real - width)), min(int(own[-1]), length - real) + 1)
+                held = np.searchsorted(own, starts + real - width, "right") - np.searchsorted(own, starts)
+                out.update((x, item) for x in starts[held >= need].tolist())
+        return out
+
     def hits(self, hashes: np.ndarray, grams: dict[int, np.ndarray], at: dict[int, np.ndarray], least: float) -> dict:
         """Best ``(similarity, start, end)`` by item for one document; ``at`` has the places of item shingles by width."""
         best: dict[int, tuple[float, int, int]] = {}
@@ -117,17 +136,20 @@ class Items:
                 np.add.at(wanted, high + 1, -1)
                 starts = np.flatnonzero(np.cumsum(wanted)[:-1] > 0)
                 runs = np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1)
+                here = anchored[:, 0] == size
+                pairs = self.reaching(items[flat][here], anchored[here, 1], len(hashes), real, width, least)
                 for run in (r[i : i + AT_ONCE] for r in runs for i in range(0, len(r), AT_ONCE)):
                     a, b = int(run[0]), int(run[-1])
-                    for w, item in zip(*self.within(window_fingerprints(hashes[a : b + real], real), size)):
-                        start = a + int(w)
-                        mine = Counter(grams[width][start : start + real - width + 1].tolist())
-                        common = sum((mine & self.counts[item]).values())
-                        together = mine.total() + self.counts[item].total() - common
-                        similarity = common / together
-                        old = best.get(int(item))
-                        if similarity >= least and (old is None or similarity > old[0]):
-                            best[int(item)] = (similarity, start, start + real)
+                    near = zip(*self.within(window_fingerprints(hashes[a : b + real], real), size))
+                    pairs.update((a + int(w), int(item)) for w, item in near)
+                for start, item in sorted(pairs):
+                    mine = Counter(grams[width][start : start + real - width + 1].tolist())
+                    common = sum((mine & self.counts[item]).values())
+                    together = mine.total() + self.counts[item].total() - common
+                    similarity = common / together
+                    old = best.get(item)
+                    if similarity >= least and (old is None or similarity > old[0]):
+                        best[item] = (similarity, start, start + real)
         return best
 
     def search(self, texts: list[bytes | None], table: WordHashes, least: float) -> list[dict]:
