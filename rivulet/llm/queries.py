@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, pieces, pii, quality, sharding, simhash, substrings, suffix_tree, token_counts
+from . import chat, decontaminate, phrases, pieces, pii, quality, sharding, simhash, substrings, suffix_tree, token_counts
 from .common import documents
 
 QUERIES: dict = {}
@@ -151,3 +151,42 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(documents(spark, sf_dir))
+
+
+@_query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+ORACLES["op11_phrases"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p
+    from documents
+), words as (
+    select lang, [x for x in regexp_split_to_array(p, '[\x20\x09]+') if x <> ''] as w from pieces
+), totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang
+), grams as (
+    select lang, m, array_to_string(w[i:i + m - 1], ' ') as phrase, count(*) as f
+    from words, unnest([1, 2, 3, 4]) as u(m), unnest(range(1, len(w) - m + 2)) as t(i)
+    group by all having count(*) >= 30
+), split as (select lang, m, phrase, f, string_split(phrase, ' ') as w from grams where m > 1
+), cuts as (
+    select s.lang, s.phrase, s.f as a, k, h.f as l, r.f as r,
+        cast((cast(2000000 as hugeint) * s.f) // (cast(h.f as hugeint) + r.f) as bigint) as score
+    from split s, unnest(range(1, m)) as t(k)
+    join grams h on h.lang = s.lang and h.phrase = array_to_string(w[1:k], ' ')
+    join grams r on r.lang = s.lang and r.phrase = array_to_string(w[k + 1:], ' ')
+), best as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_runs as (
+    select distinct lang, f, array_to_string(w[i:i + q - 1], ' ') as phrase
+    from split, unnest(range(2, m)) as t(q), unnest(range(1, m - q + 2)) as v(i)
+), ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best b
+    where not exists (select 1 from inner_runs i where i.lang = b.lang and i.phrase = b.phrase
+        and cast(100 as hugeint) * i.f >= cast(80 as hugeint) * b.a)
+)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, score
+from ranked join totals using (lang) where rank <= 2000
+"""
