@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, phrases, pieces, pii, quality, sharding, simhash, substrings, suffix_tree, token_counts
+from . import chat, decontaminate, lexical, phrases, pieces, pii, quality, sharding, simhash, substrings, suffix_tree, token_counts
 from .common import documents
 
 QUERIES: dict = {}
@@ -190,3 +190,34 @@ with pieces as (
 select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, score
 from ranked join totals using (lang) where rank <= 2000
 """
+
+
+@_query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet")))
+
+
+ORACLES["op13_lexical_search"] = r"""
+with cased as (
+    select doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+), found as (
+    select doc_id, regexp_extract_all(t, '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+') as w from cased
+), sized as (select row_number() over () as d, doc_id, len(w) as n, w from found where len(w) > 0
+), totals as (select count(*) as docs, sum(n)::bigint as terms from sized
+), tf as (select d, unnest(w) as term, count(*) as tf from sized group by d, term
+), df as (select term, count(*) as df from tf group by term
+), weights as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w from df, totals
+), asked as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) as term
+    from benchmark
+), scored as (
+    select item_id, d, sum(weights.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::bigint as score
+    from asked join weights using (term) join tf using (term) join sized using (d), totals group by item_id, d
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored join sized using (d) where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id) <= 50
+"""
