@@ -32,7 +32,7 @@ from ..session import written
 from .common import mixed
 
 #: Longest phrase; bytes of text that are counted together; bytes of text for each bucket of counts.
-LONGEST, SLICE, BUCKET_BYTES = 4, 16 << 20, 2 << 20
+LONGEST, SLICE, BUCKET_BYTES = 4, 8 << 20, 2 << 20
 #: The most bits of the map of frequent pairs, as a power of two (32 MiB), and bits for each pair below that.
 MOST_BITS, BITS_PER_PAIR = 28, 16
 #: Scores per step of the coarse histogram by which the last place of the report is found.
@@ -62,20 +62,21 @@ def _powers(base: int, n: int) -> np.ndarray:
 class _Slice:
     """The words of some texts: exact numbers, fingerprint prefixes, pieces and places."""
 
-    def __init__(self, texts: pa.Array, langs: list[int], hash_bits: int = 64):
+    def __init__(self, texts: pa.Array, lang: np.ndarray, salts: np.ndarray, hash_bits: int = 64):
         values = [t or b"" for t in texts.to_pylist()]
         data = np.frombuffer(b"\n".join(values), np.uint8)
         sizes = np.fromiter(map(len, values), np.int64, len(values))
         self.first = np.cumsum(sizes + 1) - sizes - 1
         kind = _KIND[data]
         edge = np.diff((kind == 0).view(np.int8), prepend=np.int8(0), append=np.int8(0))
-        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.start, self.end = (np.flatnonzero(edge == x).astype(np.int32) for x in (1, -1))
         self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.start] if len(self.start) else np.zeros(0, np.int32)
-        self.row = np.searchsorted(self.first, self.start, "right") - 1
-        self.lang = np.asarray(langs, np.int64)[self.row]
-        ends = np.cumsum(self.end - self.start)
-        offsets = np.concatenate([[0], ends]).astype(np.int32)
-        letters = np.ascontiguousarray(_LOWER[data[kind == 0]])
+        self.row = (np.searchsorted(self.first, self.start, "right") - 1).astype(np.int32)
+        self.lang, self.salts = lang.astype(np.int32)[self.row], mixed(salts)
+        offsets = np.zeros(len(self.start) + 1, np.int32)
+        np.cumsum(self.end - self.start, out=offsets[1:])
+        letters = _LOWER[data[kind == 0]]
+        del kind, edge, data, values
         words = pa.BinaryArray.from_buffers(
             pa.binary(), len(self.start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
         ).dictionary_encode()
@@ -84,7 +85,6 @@ class _Slice:
         self.inverse = _powers(_INVERSE, len(value))
         self.prefix = np.zeros(len(value) + 1, np.uint64)
         np.cumsum(value * _powers(_BASE, len(value)), out=self.prefix[1:])
-        self.salt = mixed(self.lang.view(np.uint64))
         self.hash_bits = hash_bits
 
     @staticmethod
@@ -106,7 +106,7 @@ class _Slice:
         if m <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, bool)
         keys = (self.prefix[n : n + m] - self.prefix[:m]) * self.inverse[:m]
-        keys = mixed(mixed(keys + self.salt[:m] + np.uint64(n)))
+        keys = mixed(mixed(keys + self.salts[self.lang[:m]] + np.uint64(n)))
         if self.hash_bits < 64:  # tests only: fingerprints that collide
             keys &= np.uint64((1 << self.hash_bits) - 1)
         return keys, self.piece[:m] == self.piece[n - 1 :]
@@ -177,13 +177,14 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
         bits = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
         for table in _sliced(batches):
             names = table.column("lang").combine_chunks().dictionary_encode()
-            langs = np.asarray([hash_of(x) for x in names.dictionary.to_pylist()], np.uint64).view(np.int64)
-            s = _Slice(table.column("text").combine_chunks(), langs[np.asarray(names.indices)], hash_bits)
+            langs = names.dictionary.to_pylist()
+            salts = np.array([xxhash.xxh64_intdigest(x.encode(), 7) for x in langs], np.uint64)
+            s = _Slice(table.column("text").combine_chunks(), np.asarray(names.indices), salts, hash_bits)
             rows = np.asarray(table.column("row"))
             base = int(rows[0])
             if pairs is None and len(s.start):
-                words = np.bincount(np.asarray(names.indices)[s.row], minlength=len(langs))
-                yield _batch([-1 - i % 64 for i in range(len(langs))], [0] * len(langs), names.dictionary.to_pylist(), words, [None] * len(langs))
+                words = np.bincount(s.lang, minlength=len(langs))
+                yield _batch([-1 - x % 64 for x in salts.tolist()], [0] * len(langs), langs, words, [None] * len(langs))
             fit = None
             if bits is not None:
                 keys, inside = s.grams(2)
@@ -230,10 +231,6 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
     return sent.groupBy("bucket").applyInPandas(add, "key long, n int, count long, row long, start int, size int, lang string")
 
 
-def hash_of(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode(), 7)
-
-
 def _batch(bucket, base, lang, words, body) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket, pa.int32()), pa.array(base, pa.int64()), pa.array(lang, pa.string()), pa.array(words, pa.int64()), pa.array(body, pa.binary())],
