@@ -32,7 +32,7 @@ from ..session import written
 from .common import mixed
 
 #: Longest phrase; bytes of text that are counted together; bytes of text for each bucket of counts.
-LONGEST, SLICE, BUCKET_BYTES = 4, 8 << 20, 2 << 20
+LONGEST, SLICE, BUCKET_BYTES = 4, 4 << 20, 2 << 20
 #: The most bits of the map of frequent pairs, as a power of two (32 MiB), and bits for each pair below that.
 MOST_BITS, BITS_PER_PAIR = 28, 16
 #: Scores per step of the coarse histogram by which the last place of the report is found.
@@ -189,26 +189,23 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
             if bits is not None:
                 keys, inside = s.grams(2)
                 fit = inside & _has_bits(bits, keys)
-            found = []
             for n in lengths:
                 keys, inside = s.grams(n)
                 if fit is not None and len(keys):
                     inside = inside & np.logical_and.reduce([fit[j : j + len(keys)] for j in range(n - 1)])
-                at = np.flatnonzero(inside)
-                if len(at):
-                    keys, count, at = s.counted(n, keys, at)
-                    found.append((keys, np.full(len(keys), n), count, at, s.end[at + n - 1] - s.start[at]))
-            if not found:
-                continue
-            keys, n, count, at, size = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(keys)
-            keys, n, count, at, size = (x[order] for x in (keys, n, count, at, size))
-            row = rows[s.row[at]] - base
-            columns = [keys, n, count, row, s.start[at] - s.first[s.row[at]], size]
-            bucket = _bucket(keys, buckets)
-            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            bodies = [_packed([c[a:b] for c in columns]) for a, b in zip(cuts, np.append(cuts[1:], len(bucket)))]
-            yield _batch(bucket[cuts], [base] * len(cuts), [None] * len(cuts), [0] * len(cuts), bodies)
+                at = np.flatnonzero(inside).astype(np.int32)
+                if not len(at):
+                    continue
+                keys, count, at = s.counted(n, keys, at)
+                row = s.row[at]
+                columns = [
+                    keys, np.full(len(keys), n, np.uint8), count, rows[row] - base, s.start[at] - s.first[row],
+                    s.end[at + n - 1] - s.start[at],
+                ]
+                cuts = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
+                held = np.flatnonzero(np.diff(cuts))
+                bodies = [_packed([c[cuts[b] : cuts[b + 1]] for c in columns]) for b in held]
+                yield _batch(held, [base] * len(held), [None] * len(held), [0] * len(held), bodies)
 
     def add(table: pd.DataFrame) -> pd.DataFrame:
         if table["bucket"].iloc[0] < 0:
