@@ -7,7 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, lexical, phrases, pieces, pii, quality, sharding, simhash, substrings, suffix_tree, token_counts
+from . import (
+    chat, decontaminate, lexical, phrases, pieces, pii, quality, sharding, simhash, substrings, suffix_tree, token_counts,
+    toxicity,
+)
 from .common import documents
 
 QUERIES: dict = {}
@@ -192,6 +195,17 @@ from ranked join totals using (lang) where rank <= 2000
 """
 
 
+@_query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet")).filter(~held_out)
+    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @_query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet")))
