@@ -15,9 +15,9 @@ def test_query_equals_oracle(spark, sf_dir, name):
 
 
 def test_every_operator_has_a_query_over_all_documents(spark, sf_dir):
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     rows = spark.read.parquet(os.path.join(sf_dir, "documents.parquet")).count()
-    for n in ("op1_quality_rules", "op2_personal_data", "op5_sharding", "op6_simhash", "op9_token_counts"):
+    for n in ("op1_quality_rules", "op2_personal_data", "op5_sharding", "op6_simhash", "op9_token_counts", "op12_toxicity"):
         assert QUERIES[n](spark, sf_dir).count() == rows
 
 
