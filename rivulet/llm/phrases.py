@@ -24,15 +24,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import mixed
+from .common import in_arrow, mixed
 
 #: Longest phrase; bytes of text that are counted together; bytes of text for each bucket of counts.
-LONGEST, SLICE, BUCKET_BYTES = 4, 4 << 20, 2 << 20
+LONGEST, SLICE, BUCKET_BYTES = 4, 10 << 20, 2 << 20
 #: The most bits of the map of frequent pairs, as a power of two (32 MiB), and bits for each pair below that.
 MOST_BITS, BITS_PER_PAIR = 28, 16
 #: Scores per step of the coarse histogram by which the last place of the report is found.
@@ -132,7 +132,7 @@ class _Slice:
         return keys[cuts], np.diff(np.append(cuts, len(keys))), at[cuts]
 
 
-_PARTS = (("key", np.uint64), ("n", np.uint8), ("count", np.int64), ("row", np.int64), ("start", np.int32), ("size", np.int32))
+_PARTS = (("key", np.uint64), ("n", np.uint8), ("count", np.int64), ("row", np.int32), ("start", np.int32), ("size", np.int32))
 
 
 def _packed(columns: list[np.ndarray]) -> bytes:
@@ -152,36 +152,56 @@ def _unpacked(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows together up to SLICE bytes of text; a longer text is a slice of its own."""
-    kept, size = [], 0
+def _slices(docs: DataFrame) -> DataFrame:
+    """``slice, row, lang, text`` with up to SLICE bytes of text in a slice; a longer text is a slice of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, row, size = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            slices, rows = [], []
+            for more in pc.binary_length(batch.column("text")).to_pylist():
+                if size and size + more > SLICE:
+                    number, row, size = number + 1, 0, 0
+                slices.append(number)
+                rows.append(row)
+                row, size = row + 1, size + more
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slices, pa.int64()), pa.array(rows, pa.int32()), batch.column("lang"), batch.column("text")],
+                names=["slice", "row", "lang", "text"],
+            )
+
+    return docs.mapInArrow(run, "slice long, row int, lang string, text binary")
+
+
+def _by_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Neighbouring rows of one slice together."""
+    kept: list[pa.RecordBatch] = []
     for batch in batches:
-        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)).astype(np.int64)
-        begin = 0
-        for i, more in enumerate(sizes):
-            if size and size + more > SLICE:
-                kept.append(batch.slice(begin, i - begin))
+        numbers = np.asarray(batch.column("slice"))
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1), len(numbers)]
+        for a, b in zip(cuts, cuts[1:]):
+            if kept and b > a and kept[0].column("slice")[0].as_py() != numbers[a]:
                 yield pa.Table.from_batches(kept)
-                kept, size, begin = [], 0, i
-            size += int(more)
-        kept.append(batch.slice(begin))
+                kept = []
+            if b > a:
+                kept.append(batch.slice(a, b - a))
     if kept:
         yield pa.Table.from_batches(kept)
 
 
 def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: int, pairs: Broadcast | None, hash_bits: int) -> DataFrame:
-    """``key, n, count, row, start, size``: of each n-gram whose fingerprint is frequent, the count and first place in
-    each slice; and ``lang, count`` (n is 0) of all words of a language. ``texts`` has row, lang and text in bytes."""
+    """``slice, body``: of each n-gram whose fingerprint is frequent, the count and first place in each slice; and
+    ``lang, words`` (slice is null) of all words of a language. ``texts`` are slices."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
-        for table in _sliced(batches):
+        for table in _by_slice(batches):
             names = table.column("lang").combine_chunks().dictionary_encode()
             langs = names.dictionary.to_pylist()
             salts = np.array([xxhash.xxh64_intdigest(x.encode(), 7) for x in langs], np.uint64)
             s = _Slice(table.column("text").combine_chunks(), np.asarray(names.indices), salts, hash_bits)
             rows = np.asarray(table.column("row"))
-            base = int(rows[0])
+            base = table.column("slice")[0].as_py()
             if pairs is None and len(s.start):
                 words = np.bincount(s.lang, minlength=len(langs))
                 yield _batch([-1 - x % 64 for x in salts.tolist()], [0] * len(langs), langs, words, [None] * len(langs))
@@ -199,7 +219,7 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
                 keys, count, at = s.counted(n, keys, at)
                 row = s.row[at]
                 columns = [
-                    keys, np.full(len(keys), n, np.uint8), count, rows[row] - base, s.start[at] - s.first[row],
+                    keys, np.full(len(keys), n, np.uint8), count, rows[row], s.start[at] - s.first[row],
                     s.end[at + n - 1] - s.start[at],
                 ]
                 cuts = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
@@ -210,22 +230,26 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
     def add(table: pd.DataFrame) -> pd.DataFrame:
         if table["bucket"].iloc[0] < 0:
             sums = table.groupby("lang")["words"].sum()
-            return pd.DataFrame({"key": 0, "n": 0, "count": sums.values, "row": 0, "start": 0, "size": 0, "lang": sums.index})
+            return pd.DataFrame({"slice": pd.array([None] * len(sums), "Int64"), "body": None, "lang": sums.index, "words": sums.values})
         parts = [_unpacked(x) for x in table["body"]]
-        sizes = [len(p[0]) for p in parts]
-        key, n, count, row, start, size = (np.concatenate(x) for x in zip(*parts))
-        row = row.astype(np.int64) + np.repeat(table["base"].to_numpy(), sizes)
+        part = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+        columns = [np.concatenate(x) for x in zip(*parts)]
+        del parts
+        key = columns[0]
         order = np.argsort(key, kind="stable")
         cuts = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
-        total = np.add.reduceat(count[order], cuts)
-        often = order[np.repeat(total >= least, np.diff(np.append(cuts, len(order))))]
+        total = np.add.reduceat(columns[2][order], cuts)
+        often = np.sort(order[np.repeat(total >= least, np.diff(np.append(cuts, len(order))))])
+        part = part[often]
+        held, starts = np.unique(part, return_index=True)
+        ends = np.append(starts[1:], len(often))
         return pd.DataFrame({
-            "key": key[often].view(np.int64), "n": n[often].astype(np.int32), "count": count[often], "row": row[often],
-            "start": start[often], "size": size[often], "lang": None,
+            "slice": pd.array(table["base"].to_numpy()[held], "Int64"),
+            "body": [_packed([c[often[a:b]] for c in columns]) for a, b in zip(starts, ends)], "lang": None, "words": None,
         })
 
     sent = texts.mapInArrow(send, "bucket int, base long, lang string, words long, body binary")
-    return sent.groupBy("bucket").applyInPandas(add, "key long, n int, count long, row long, start int, size int, lang string")
+    return sent.groupBy("bucket").applyInPandas(add, "slice long, body binary, lang string, words long")
 
 
 def _batch(bucket, base, lang, words, body) -> pa.RecordBatch:
@@ -247,8 +271,15 @@ def _has_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _pair_bits(frequent: DataFrame) -> bytes:
     """A map of the keys of frequent pairs: bit ``key mod size``. At most 2**MOST_BITS bits, in at most as many / 2**15 rows."""
-    pairs = frequent.filter("n = 2").select("key").distinct()
-    power = min(max(int(pairs.count() * BITS_PER_PAIR).bit_length(), 15), MOST_BITS)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                key, n, *_ = _unpacked(body)
+                yield {"key": key[n == 2].view(np.int64)}
+
+    pairs = in_arrow(frequent.filter("slice is not null").select("body"), keys, "key long").distinct()
+    power = min(max(int(pairs.agg(F.approx_count_distinct("key")).first()[0] * BITS_PER_PAIR).bit_length(), 15), MOST_BITS)
     cell = F.col("key").bitwiseAND((1 << power) - 1)
     blocks = pairs.groupBy(F.shiftright(cell, 15).alias("block")).agg(F.bitmap_construct_agg(cell.bitwiseAND(0x7FFF)).alias("bits"))
     out = np.zeros(1 << power - 3, np.uint8)
@@ -259,23 +290,23 @@ def _pair_bits(frequent: DataFrame) -> bytes:
 
 def _phrases(texts: DataFrame, frequent: DataFrame, least: int) -> DataFrame:
     """``lang, phrase, n, a`` with the texts at the pointers read back, counts added by phrase."""
-    places = frequent.groupBy("row").agg(F.collect_list(F.struct("start", "size", "n", "count")).alias("places"))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                text, lang = batch.column("text")[i].as_py(), batch.column("lang")[i].as_py()
-                places = batch.column("places")[i].values
-                start, size, n, count = (places.field(k) for k in ("start", "size", "n", "count"))
-                spans = zip(start.to_pylist(), size.to_pylist())
-                phrases = [b" ".join(text[a : a + b].lower().split()).decode() for a, b in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), n, count],
-                    names=["lang", "phrase", "n", "count"],
-                )
-
-    joined = texts.join(places, "row").select("lang", "text", "places")
-    found = joined.mapInArrow(read, "lang string, phrase string, n int, count long")
+    def read(rows: pa.Table, places: pa.Table) -> pa.Table:
+        out: list[pa.Table] = []
+        schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int32()), ("count", pa.int64())])
+        if rows.num_rows:
+            order = np.argsort(np.asarray(rows.column("row")))
+            texts, langs = (rows.column(c).take(pa.array(order)).to_pylist() for c in ("text", "lang"))
+            lang = pa.array(langs, pa.string())
+            for body in places.column("body").to_pylist():
+                _, n, count, row, start, size = _unpacked(body)
+                spans = zip(row.tolist(), start.tolist(), (start + size).tolist())
+                phrases = [b" ".join(texts[r][a:b].lower().split()) for r, a, b in spans]
+                out.append(pa.table([lang.take(pa.array(row)), pa.array(phrases, pa.binary()).cast(pa.string()), n.astype(np.int32), count], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
+
+    held = frequent.select("slice", "body").filter("slice is not null").groupBy("slice")
+    found = texts.groupBy("slice").cogroup(held).applyInArrow(read, "lang string, phrase string, n int, count long")
     return found.groupBy("lang", "phrase", "n").agg(F.sum("count").alias("a")).filter(F.col("a") >= least)
 
 
@@ -301,18 +332,16 @@ def collocations(
     columns are ignored; an empty table gives an empty result. Runs jobs and stores tables in the shared folder.
     """
     texts = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.coalesce(docs[lang].cast("string"), F.lit(UNKNOWN)).alias("lang"),
-        docs[text].cast("string").cast("binary").alias("text"),
+        F.coalesce(docs[lang].cast("string"), F.lit(UNKNOWN)).alias("lang"), docs[text].cast("string").cast("binary").alias("text")
     )
-    texts = written(texts.filter(F.length("text") > 0), "texts")
+    texts = written(_slices(texts.filter(F.length("text") > 0)), "texts")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = int(size // BUCKET_BYTES + 64)
     short = written(_frequent(texts, (1, 2), least, buckets, None, hash_bits), "words_and_pairs")
     pairs = texts.sparkSession.sparkContext.broadcast(_pair_bits(short))
-    long = _frequent(texts, tuple(range(3, LONGEST + 1)), least, buckets, pairs, hash_bits)
-    entries = written(short.filter("n > 0").unionByName(long), "frequent")
-    known = written(_phrases(texts, entries, least), "phrases")
-    words = short.filter("n = 0").groupBy("lang").agg(F.sum("count").alias("words"))
+    long = written(_frequent(texts, tuple(range(3, LONGEST + 1)), least, buckets, pairs, hash_bits), "longer")
+    known = written(_phrases(texts, short.unionByName(long), least), "phrases")
+    words = short.filter("slice is null").groupBy("lang").agg(F.sum("words").alias("words"))
 
     split = known.filter("n > 1").withColumn("w", F.split("phrase", " "))
     cuts = split.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n") - 1))).select(
