@@ -1,4 +1,4 @@
-from .cdc import apply_changes, changes_to_sql, merge_change_images
+from .cdc import apply_changes, changes_to_sql, merge_change_images, settle_changes
 from .cells import (
     kt_check_and_put,
     kt_contains,

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import apply_case, apply_case_text, map_column_name_expr, override_schema, sql_literal
 from ..functions.template import constants as constant_columns
-from ..session import last_key_wins
+from ..functions.template import quoted
+from ..plans.skew import DEFAULT_HOT_ROWS, OrderedGroups, Running
+from ..session import last_key_wins, written
 from .routing import with_route
 from .shape import OBJECT, as_texts, is_nested, listed, only_element
 
@@ -180,6 +183,44 @@ def changes_to_sql(
     return out.drop(*[c for c in out.columns if c.startswith("_rv_")])
 
 
+class Applied(NamedTuple):
+    """A changed table, and every change with its ``outcome`` and ``failure_reason``."""
+
+    target: DataFrame
+    outcomes: DataFrame
+
+    @property
+    def rejected(self) -> DataFrame:
+        """The changes that did not apply, or not with all their columns."""
+        return self.outcomes.filter("outcome <> 'applied'")
+
+
+def _parsed(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: str, source: str, *more: Column
+) -> DataFrame:
+    """Key columns of the target's types, place, operation, images and table of each change."""
+    order = F.col(order_by) if order_by in changes.columns else F.col(f"_rv_c.{order_by}")
+    work = _with_texts(changes, source)
+    after = F.col("_rv_c.after")
+    image = F.coalesce(F.when(F.col("_rv_c.op_type") == INSERT, after).otherwise(F.col("_rv_c.before")), after)
+    return work.select(
+        *[F.try_element_at(image, F.lit(k)).try_cast(target.schema[k].dataType).alias(k) for k in keys],
+        order.alias("_rv_pos"),
+        F.col("_rv_c.op_type").alias("_rv_op"),
+        after.alias("_rv_after"),
+        F.col("_rv_c.table").alias("_rv_table"),
+        *more,
+    )
+
+
+def _present(name: str) -> Column:
+    return F.map_contains_key(F.col("_rv_after"), name)
+
+
+def _new_value(name: str) -> Column:
+    return F.try_element_at(F.col("_rv_after"), F.lit(name))
+
+
 def apply_changes(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: str = "pos", source: str = "content",
     table: str | None = None,
@@ -193,35 +234,23 @@ def apply_changes(
     one. ``table`` limits the changes to those of one table (as named in the records); ``pos`` is compared as text.
     The changes of a key are folded by one partial aggregation, however many there are.
     """
-    order = F.col(order_by) if order_by in changes.columns else F.col(f"_rv_c.{order_by}")
-    work = _with_texts(changes, source)
-    op, after = F.col("_rv_c.op_type"), F.col("_rv_c.after")
-    image = F.coalesce(F.when(op == INSERT, after).otherwise(F.col("_rv_c.before")), after)
+    return _fold(target, _parsed(target, changes, keys, order_by, source), keys, table)
+
+
+def _fold(target: DataFrame, work: DataFrame, keys: Sequence[str], table: str | None) -> DataFrame:
     fields = {f.name: f.dataType for f in target.schema.fields}
     others = [name for name in fields if name not in keys]
-    work = work.select(
-        *[F.try_element_at(image, F.lit(k)).try_cast(fields[k]).alias(k) for k in keys],
-        order.alias("_rv_pos"),
-        op.alias("_rv_op"),
-        after.alias("_rv_after"),
-        F.col("_rv_c.table").alias("_rv_table"),
-    )
     op = F.col("_rv_op")
     ours = F.lit(True) if table is None else F.col("_rv_table").eqNullSafe(F.lit(table))
     known = op.isin(INSERT, UPDATE, DELETE) & ours
     present = op.isin(INSERT, UPDATE) & ours
 
     def fits(name: str) -> Column:
-        value = F.try_element_at(F.col("_rv_after"), F.lit(name))
-        return F.map_contains_key(F.col("_rv_after"), name) & (value.isNull() | value.try_cast(fields[name]).isNotNull())
+        value = _new_value(name)
+        return _present(name) & (value.isNull() | value.try_cast(fields[name]).isNotNull())
 
     latest = [
-        F.max(
-            F.when(
-                present & fits(name),
-                F.struct("_rv_pos", F.try_element_at(F.col("_rv_after"), F.lit(name)).alias("value")),
-            )
-        ).alias(f"_rv_new_{i}")
+        F.max(F.when(present & fits(name), F.struct("_rv_pos", _new_value(name).alias("value")))).alias(f"_rv_new_{i}")
         for i, name in enumerate(others)
     ]
     folded = work.groupBy(*keys).agg(
@@ -241,3 +270,74 @@ def apply_changes(
         value = F.when(valid, new["value"].try_cast(fields[name])).when(reset.isNull(), F.col(name))
         out.append(value.alias(name))
     return joined.select(*out).select(*target.columns)
+
+
+def settle_changes(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: str = "pos", source: str = "content",
+    table: str | None = None, *, hot_rows: int = DEFAULT_HOT_ROWS,
+) -> Applied:
+    """As :func:`apply_changes`, and what became of every change: nothing is passed over in silence.
+
+    ``outcomes`` has the columns of ``changes``, ``outcome`` and ``failure_reason``: ``applied``; ``partly``, where some
+    columns could not hold their values; ``rejected``, where the text is no change record, the operation unknown, the
+    table another one, the key or the place missing, the image missing, an update has nothing but its key, or an update
+    or delete meets no row. Whether there is a row follows from the last insert or delete of the key before the change,
+    and from ``target`` where there is none. Changes of one place go by their text.
+
+    The records are parsed once and stored in the shared folder. A key with very many changes is cut along its order.
+    """
+    fields = {f.name: f.dataType for f in target.schema.fields}
+    others = [name for name in fields if name not in keys]
+    row = F.struct(*[quoted(c) for c in changes.columns]).alias("_rv_row")
+    work = written(
+        _parsed(
+            target, changes, keys, order_by, source, row, F.col("_rv_c").isNotNull().alias("_rv_record"),
+            F.col(source).cast("string").alias("_rv_text"),
+        ),
+        "changes",
+    )
+    op = F.col("_rv_op")
+    known = op.isin(INSERT, UPDATE, DELETE)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    bad = F.filter(
+        F.array(*[
+            F.when(_present(n) & _new_value(n).isNotNull() & _new_value(n).try_cast(fields[n]).isNull(),
+                   F.concat(F.lit(f"{n} cannot hold '"), _new_value(n), F.lit("'")))
+            for n in others
+        ]).cast("array<string>"),
+        lambda x: x.isNotNull(),
+    )
+    plain = (
+        F.when(~F.col("_rv_record"), F.lit("the text is not a change record"))
+        .when(op.isNull(), F.lit("the change has no op_type"))
+        .when(~known, F.concat(F.lit(f"{UNSUPPORTED}: "), op))
+        .when(F.lit(False) if table is None else ~F.col("_rv_table").eqNullSafe(F.lit(table)), F.lit("the change is of another table"))
+        .when(no_key, F.lit("the change has no key"))
+        .when(F.col("_rv_pos").isNull(), F.lit("the change has no place in the order"))
+        .when((op != DELETE) & F.col("_rv_after").isNull(), F.lit("the change has no after image"))
+        .when((op == UPDATE) & ~F.arrays_overlap(F.map_keys("_rv_after"), F.array(*map(F.lit, others)).cast("array<string>")), F.lit("the update has nothing but its key"))
+    )
+    work = work.withColumns({"_rv_plain": plain, "_rv_bad": F.when(op != DELETE, bad)})
+    # changes that cannot apply whatever came before do not meet the others
+    hopeless = work.filter("_rv_plain is not null").withColumn("_rv_reason", F.col("_rv_plain"))
+    groups = OrderedGroups(work.filter("_rv_plain is null"), list(keys), ["_rv_pos", "_rv_text"], hot_rows).with_running(
+        Running("_rv_before", "last", F.when(op.isin(INSERT, DELETE), op))
+    )
+    there = target.select(*[quoted(k).alias(f"_rv_t{i}") for i, k in enumerate(keys)]).distinct().withColumn("_rv_there", F.lit(True))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_rv_t{i}"))
+    rest = groups.result().join(there, same, "left")
+    row_there = F.coalesce(F.col("_rv_before") == INSERT, F.col("_rv_there"), F.lit(False))
+    rest = rest.withColumn("_rv_reason", F.when((op != INSERT) & ~row_there, F.lit("there is no such row")))
+    names = ["_rv_row", "_rv_reason", "_rv_bad"]
+    decided = hopeless.select(*names).unionByName(rest.select(*names))
+    partly = F.size(F.coalesce("_rv_bad", F.array().cast("array<string>"))) > 0
+    outcomes = decided.select(
+        "_rv_row.*",
+        F.when(F.col("_rv_reason").isNotNull(), F.lit("rejected")).when(partly, F.lit("partly")).otherwise(F.lit("applied")).alias("outcome"),
+        F.coalesce("_rv_reason", F.when(partly, F.array_join("_rv_bad", "; "))).alias("failure_reason"),
+    )
+    return Applied(_fold(target, work, keys, table), outcomes)

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..plans.skew import CHUNK, DEFAULT_HOT_ROWS, OrderedGroups, numbered
 from ..session import last_key_wins, written
+from ..sources.tables import KeyedTable
 from .routing import with_route
 
 CELL = ["row_key", "family", "qualifier"]
@@ -305,6 +306,8 @@ def kt_remove(cells: DataFrame, keys: DataFrame, key: str = "row_key") -> TableC
     return TableChange(cells.join(gone, "row_key", "left_anti"), kt_contains(keys, cells, key, "existed"))
 
 
-def kt_remove_all(cells: DataFrame) -> DataFrame:
-    """The table with every row deleted."""
+def kt_remove_all(cells: DataFrame | KeyedTable) -> DataFrame | None:
+    """The table with every row deleted; a durable table is emptied in place, by a new version without data."""
+    if isinstance(cells, KeyedTable):
+        return cells.clear()
     return cells.filter(F.lit(False))

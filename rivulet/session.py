@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -105,6 +106,33 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file to a name that must be new; False where it is taken."""
+    jvm = spark._jvm
+    source_path, target_path = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    conf = spark._jsc.hadoopConfiguration()
+    # FileContext, since FileSystem.rename silently replaces an existing file on some file systems
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source_path.getFileSystem(conf).getUri(), conf)
+    no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(source_path, target_path, no_options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def delete_path(spark: SparkSession, path: str, recursive: bool = False) -> bool:
     """Delete one file, or with ``recursive`` a folder; True when it was there."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
