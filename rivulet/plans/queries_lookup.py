@@ -19,7 +19,6 @@ from ..operators import (
     kt_put,
     kt_put_if_absent,
     kt_remove,
-    kt_remove_all,
     scan_cells,
     sql_to_lookup,
     xml_extract,
@@ -549,8 +548,3 @@ def remove_results(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey")
     change = kt_remove(customer_cells(spark, sf_dir), parts, "p_partkey")
     return change.results.withColumn("existed", F.col("existed").cast("int"))
-
-
-@query("kt_remove_all", f"with {_CELLS} select * from cells where false")
-def remove_all(spark, sf_dir):
-    return kt_remove_all(customer_cells(spark, sf_dir))

@@ -1,6 +1,7 @@
 import json
+import random
 
-from rivulet.operators import apply_changes, changes_to_sql, merge_change_images
+from rivulet.operators import apply_changes, changes_to_sql, merge_change_images, settle_changes
 
 
 def change(op, before=None, after=None, table="app.Items", keys=("ID", "K2"), pos="1", **more):
@@ -126,3 +127,92 @@ def test_records_are_parsed_once_and_whole(spark):
         assert plan.count("from_json(") == 1
     target = spark.createDataFrame([], "id long")
     assert [tuple(r) for r in apply_changes(target, df, ["id"]).collect()] == [(1,)]
+
+
+def settled(target, changes, table=None):
+    """Row by row: the table after the changes, and the outcome of each."""
+    rows, outcomes = {r["id"]: dict(r) for r in target}, {}
+    decided = []
+    for at, text in changes:
+        try:
+            c = json.loads(text)
+            c = c if isinstance(c, dict) else None
+        except ValueError:
+            c = None
+        decided.append((at, text, c))
+    for at, text, c in sorted(decided, key=lambda x: ((x[2] or {}).get("pos") or "", x[1])):
+        op = (c or {}).get("op_type")
+        image = (c or {}).get("after") if op == "I" else (c or {}).get("before")
+        image = image if image is not None else (c or {}).get("after")
+        key = (image or {}).get("id")
+        key = int(key) if str(key).isdigit() else None
+        if c is None or op not in ("I", "U", "D") or (table and c.get("table") != table) or key is None or c.get("pos") is None:
+            outcomes[at] = "rejected"
+            continue
+        after = c.get("after")
+        if op != "D" and after is None or op == "U" and not {"name", "n"} & set(after):
+            outcomes[at] = "rejected"
+            continue
+        if op != "I" and key not in rows:
+            outcomes[at] = "rejected"
+            continue
+        if op == "D":
+            del rows[key]
+            outcomes[at] = "applied"
+            continue
+        row = {"id": key, "name": None, "n": None} if op == "I" else dict(rows[key])
+        fine = True
+        for name in ("name", "n"):
+            if name in after:
+                if name == "n" and after[name] is not None and not str(after[name]).lstrip("-").isdigit():
+                    fine = False
+                else:
+                    row[name] = after[name]
+        rows[key] = row
+        outcomes[at] = "applied" if fine else "partly"
+    return rows, outcomes
+
+
+def test_every_change_has_an_outcome(spark):
+    rng = random.Random(6)
+    target = [{"id": i, "name": f"t{i}", "n": i} for i in range(8)]
+    changes = []
+    for at in range(400):
+        op = rng.choice("IUUUDDX") if at % 19 else None
+        key = rng.choice([0, 1, 2, 3, 3, 3, 3, 9, 10, "x", None])
+        doc = {"table": rng.choice(["a", "a", "a", "b"]), "op_type": op, "pos": f"{at:05d}" if at % 23 else None, "before": {"id": key}}
+        if op != "D":
+            doc["after"] = {"id": key, **rng.choice([{"name": f"v{at}"}, {"n": at}, {"n": "bad", "name": None}, {}])}
+        if at % 31 == 0:
+            del doc["before"]
+            doc.pop("after", None)
+        changes.append((at, json.dumps(doc) + ("" if at % 29 else "}")))
+    df = spark.createDataFrame(changes, "at int, content string").repartition(3)
+    base = spark.createDataFrame([(r["id"], r["name"], r["n"]) for r in target], "id long, name string, n long")
+    for table in (None, "a"):
+        rows, outcomes = settled(target, changes, table)
+        for hot_rows in (1_000_000, 1):
+            done = settle_changes(base, df, ["id"], table=table, hot_rows=hot_rows)
+            got = done.outcomes.collect()
+            assert len(got) == len(changes)
+            assert {r["at"]: r["outcome"] for r in got} == outcomes
+            assert all((r["failure_reason"] is None) == (r["outcome"] == "applied") for r in got)
+            assert {r["id"]: r.asDict() for r in done.target.collect()} == rows
+        assert done.rejected.count() == sum(o != "applied" for o in outcomes.values())
+
+
+def test_reasons_of_changes_that_do_not_apply(spark):
+    texts = [
+        "no record", change("T"), change("U", {"ID": 5}, {"NAME": "x"}), change("D", {"K2": "x"}),
+        change("I", None, {"ID": 6, "N": "many", "NAME": "kept"}), change("U", {"ID": 6}, {"ID": 6}), change("U", {"ID": 6}),
+    ]
+    base = spark.createDataFrame([], "ID int, NAME string, N int")
+    done = settle_changes(base, contents(spark, *texts), ["ID"])
+    assert {r.id: r.failure_reason for r in done.outcomes.collect()} == {
+        0: "the text is not a change record", 1: "unsupported op_type: T", 2: "there is no such row",
+        3: "the change has no key", 4: "N cannot hold 'many'", 5: "the update has nothing but its key",
+        6: "the change has no after image",
+    }
+    assert [tuple(r) for r in done.target.collect()] == [(6, "kept", None)]
+    nothing = settle_changes(base, contents(spark, "x").limit(0), ["ID"])
+    assert nothing.target.count() == nothing.outcomes.count() == 0
