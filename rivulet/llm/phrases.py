@@ -5,10 +5,11 @@ the word values give the Rabin-Karp fingerprint of every n-gram by one subtracti
 fingerprints slice by slice and send them in compressed buckets, each with its count and a pointer to its first
 occurrence (row, first byte, length), never with its text; a bucket adds them up and keeps what is frequent.
 
-Fingerprints never decide what equals what. Within a slice words have exact numbers, so the places of a fingerprint are
-compared word by word, and different n-grams stay apart. Across slices the pointers of the frequent fingerprints are read
-back from the texts and counts are added by the phrase itself, so only frequent phrases are ever materialised and two
-phrases that collide end with their own counts.
+Collisions are settled by the texts. Within a slice words have exact numbers, so the places of a fingerprint are compared
+word by word, and different n-grams stay apart. Across slices each count also carries a check hash of 32 bits, made of
+the words' bytes to another base. Where the checks of a fingerprint differ, the places in all slices are read back from
+the texts and counts are added by the phrase itself; where they agree (96 bits in all), one place is read back. So only
+frequent phrases are ever materialised, and phrases that collide end with their own counts.
 
 Words and pairs are counted first. Three and four words are sent only where each pair in them may be frequent, which a
 bitmap of the frequent pairs tells: its size is bounded, and what it lets through wrongly only costs work.
@@ -32,7 +33,7 @@ from ..session import written
 from .common import in_arrow, mixed
 
 #: Longest phrase; bytes of text that are counted together; bytes of text for each bucket of counts.
-LONGEST, SLICE, BUCKET_BYTES = 4, 10 << 20, 2 << 20
+LONGEST, SLICE, BUCKET_BYTES = 4, 8 << 20, 2 << 20
 #: The most bits of the map of frequent pairs, as a power of two (32 MiB), and bits for each pair below that.
 MOST_BITS, BITS_PER_PAIR = 28, 16
 #: Scores per step of the coarse histogram by which the last place of the report is found.
@@ -41,6 +42,7 @@ UNKNOWN = "und"
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_OTHER = 0xD6E8FEB86659FD93  # the base of the check hash
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word, 1: between words, 2: between pieces
 _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
@@ -81,24 +83,34 @@ class _Slice:
             pa.binary(), len(self.start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
         ).dictionary_encode()
         self.word = np.asarray(words.indices).astype(np.int32)
-        value = self._values(words.dictionary)[self.word]
+        value, self.other = self._values(words.dictionary)
+        value = value[self.word]
         self.inverse = _powers(_INVERSE, len(value))
         self.prefix = np.zeros(len(value) + 1, np.uint64)
         np.cumsum(value * _powers(_BASE, len(value)), out=self.prefix[1:])
         self.hash_bits = hash_bits
 
     @staticmethod
-    def _values(dictionary: pa.Array) -> np.ndarray:
-        """The value of each distinct word: a polynomial of its bytes, then mixed."""
+    def _values(dictionary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Two values of each distinct word: polynomials of its bytes to two bases, then mixed."""
         n = len(dictionary)
         if not n:
-            return np.zeros(0, np.uint64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         offsets = np.frombuffer(dictionary.buffers()[1], np.int32)[dictionary.offset : dictionary.offset + n + 1].astype(np.int64)
         letters = np.frombuffer(dictionary.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
         at = np.arange(len(letters)) - np.repeat(offsets[:-1], np.diff(offsets))
-        terms = (letters.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, int(at.max()) + 1)[at]
-        return mixed(mixed(np.add.reduceat(terms, offsets[:-1])))
+        letters = letters.astype(np.uint64) + np.uint64(1)
+        return tuple(
+            mixed(mixed(np.add.reduceat(letters * _powers(base, int(at.max()) + 1)[at], offsets[:-1]))) for base in (_BASE, _OTHER)
+        )
+
+    def checks(self, n: int, at: np.ndarray) -> np.ndarray:
+        """32-bit hashes of the n-grams from the words ``at``, independent of their fingerprints."""
+        total = self.salts[self.lang[at]]
+        for j in range(n):
+            total = total * np.uint64(_OTHER) + self.other[self.word[at + j]]
+        return (mixed(mixed(total)) >> np.uint64(32)).astype(np.uint32)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Fingerprints of the n-grams from each word on, and which of them lie within one piece."""
@@ -132,7 +144,10 @@ class _Slice:
         return keys[cuts], np.diff(np.append(cuts, len(keys))), at[cuts]
 
 
-_PARTS = (("key", np.uint64), ("n", np.uint8), ("count", np.int64), ("row", np.int32), ("start", np.int32), ("size", np.int32))
+_PARTS = (
+    ("key", np.uint64), ("check", np.uint32), ("n", np.uint8), ("count", np.int64), ("row", np.int32), ("start", np.int32),
+    ("size", np.int32),
+)
 
 
 def _packed(columns: list[np.ndarray]) -> bytes:
@@ -190,8 +205,8 @@ def _by_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: int, pairs: Broadcast | None, hash_bits: int) -> DataFrame:
-    """``slice, body``: of each n-gram whose fingerprint is frequent, the count and first place in each slice; and
-    ``lang, words`` (slice is null) of all words of a language. ``texts`` are slices."""
+    """``slice, body``: of each n-gram whose fingerprint is frequent the count and a place, or, where n-grams collide, the
+    count and first place of each in each slice; and ``lang, words`` (slice is null) of all words of a language."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
@@ -219,7 +234,7 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
                 keys, count, at = s.counted(n, keys, at)
                 row = s.row[at]
                 columns = [
-                    keys, np.full(len(keys), n, np.uint8), count, rows[row], s.start[at] - s.first[row],
+                    keys, s.checks(n, at), np.full(len(keys), n, np.uint8), count, rows[row], s.start[at] - s.first[row],
                     s.end[at + n - 1] - s.start[at],
                 ]
                 cuts = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
@@ -235,11 +250,17 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
         part = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
         columns = [np.concatenate(x) for x in zip(*parts)]
         del parts
-        key = columns[0]
-        order = np.argsort(key, kind="stable")
+        key, check, count = columns[0], columns[1], columns[3]
+        order = np.lexsort((part, check, key))
         cuts = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
-        total = np.add.reduceat(columns[2][order], cuts)
-        often = np.sort(order[np.repeat(total >= least, np.diff(np.append(cuts, len(order))))])
+        sizes = np.diff(np.append(cuts, len(order)))
+        total = np.add.reduceat(count[order], cuts)
+        # one check hash: the first place stands for all; several: texts will tell, so all places go on
+        alike = check[order[cuts]] == check[order[cuts + sizes - 1]]
+        count[order[cuts[alike]]] = total[alike]
+        first = np.zeros(len(order), bool)
+        first[cuts] = True
+        often = np.sort(order[np.repeat(total >= least, sizes) & (first | np.repeat(~alike, sizes))])
         part = part[often]
         held, starts = np.unique(part, return_index=True)
         ends = np.append(starts[1:], len(often))
@@ -275,7 +296,7 @@ def _pair_bits(frequent: DataFrame) -> bytes:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for body in batch.column("body").to_pylist():
-                key, n, *_ = _unpacked(body)
+                key, _, n, *_ = _unpacked(body)
                 yield {"key": key[n == 2].view(np.int64)}
 
     pairs = in_arrow(frequent.filter("slice is not null").select("body"), keys, "key long").distinct()
@@ -299,7 +320,7 @@ def _phrases(texts: DataFrame, frequent: DataFrame, least: int) -> DataFrame:
             texts, langs = (rows.column(c).take(pa.array(order)).to_pylist() for c in ("text", "lang"))
             lang = pa.array(langs, pa.string())
             for body in places.column("body").to_pylist():
-                _, n, count, row, start, size = _unpacked(body)
+                _, _, n, count, row, start, size = _unpacked(body)
                 spans = zip(row.tolist(), start.tolist(), (start + size).tolist())
                 phrases = [b" ".join(texts[r][a:b].lower().split()) for r, a, b in spans]
                 out.append(pa.table([lang.take(pa.array(row)), pa.array(phrases, pa.binary()).cast(pa.string()), n.astype(np.int32), count], schema=schema))
