@@ -12,7 +12,8 @@ from .cells import (
     kt_remove_all,
     scan_cells,
 )
-from .lookup import attach_lookup, enrich, sql_to_lookup
+from .lookup import attach_lookup, attach_lookups, enrich, sql_to_lookup
+from .lookup_each import enrich_each
 from .routing import failing, route_counts, split_routes, with_route
 from .shape import (
     attributes_to_json,

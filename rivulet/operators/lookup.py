@@ -7,15 +7,16 @@ broadcast from the measured size and splits skewed shuffle partitions otherwise.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import convert_type
-from ..functions.template import REFERENCE, quoted, render_template
+from ..functions.template import TemplateError, has_references, quoted, render_template
+from ..plans.correlated import asking, correlated
 from .routing import failing
 from .shape import json_object
 
@@ -54,8 +55,45 @@ def attach_lookup(df: DataFrame, lookup: DataFrame, key: Column | str, into: str
     """Left join of one value per row. ``key`` is a Column or a ``${name}`` template."""
     rendered = key if isinstance(key, Column) else render_template(key, df.columns)
     right = unique_lookup(lookup).select(F.col("key").alias("_rv_lk"), F.col("value").alias(into))
-    left = df.withColumn("_rv_key", F.nullif(rendered.cast("string"), F.lit("")))
-    return left.join(right, left["_rv_key"] == right["_rv_lk"], "left").drop("_rv_key", "_rv_lk")
+    key = F.nullif(rendered.cast("string"), F.lit(""))
+    left = df.withColumns({"_rv_found": key.isNotNull(), "_rv_key": key_or_spread(key)})
+    joined = left.join(right, left["_rv_key"] == right["_rv_lk"], "left")
+    return joined.withColumn(into, F.when(F.col("_rv_found"), F.col(into))).drop("_rv_found", "_rv_key", "_rv_lk")
+
+
+def key_or_spread(key: Column) -> Column:
+    """The key to join by; rows without one get one each that nothing has, so that they do not meet in one task."""
+    return F.coalesce(key, F.concat(F.lit("\0"), F.monotonically_increasing_id()))
+
+
+def attach_lookups(df: DataFrame, lookup: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """As :func:`attach_lookup` for several columns at once, by one join however many there are.
+
+    Each row's keys become rows of their own, of which only the first carries the row; they meet the lookup together and
+    are folded back by a number drawn per row.
+    """
+    if len(keys) < 2:
+        for into, key in keys.items():
+            df = attach_lookup(df, lookup, key, into)
+        return df
+    asked = [
+        F.struct(F.lit(i).alias("i"), F.nullif(key.cast("string"), F.lit("")).alias("key")) for i, key in enumerate(keys.values())
+    ]
+    asked = F.filter(F.array(*asked), lambda a: a["key"].isNotNull() | (a["i"] == 0))
+    numbered = df.select(F.uuid().alias("_rv_no"), F.struct(*[quoted(c) for c in df.columns]).alias("_rv_row"), asked.alias("_rv_asked"))
+    long = numbered.select("_rv_no", "_rv_row", F.explode("_rv_asked").alias("_rv_a"))
+    long = long.select(
+        "_rv_no", F.when(F.col("_rv_a.i") == 0, F.col("_rv_row")).alias("_rv_row"), F.col("_rv_a.i").alias("_rv_i"),
+        F.col("_rv_a.key").isNotNull().alias("_rv_found"), key_or_spread(F.col("_rv_a.key")).alias("_rv_key"),
+    )
+    right = unique_lookup(lookup).select(F.col("key").alias("_rv_lk"), F.col("value").alias("_rv_value"))
+    met = long.join(right, long["_rv_key"] == right["_rv_lk"], "left")
+    value = F.when(F.col("_rv_found"), F.col("_rv_value"))
+    folded = met.groupBy("_rv_no").agg(
+        F.first("_rv_row", ignorenulls=True).alias("_rv_row"),
+        *[F.max(F.when(F.col("_rv_i") == i, value)).alias(into) for i, into in enumerate(keys)],
+    )
+    return folded.select("_rv_row.*", *keys)
 
 
 def single_rows(cells: DataFrame, match: Mapping[str, str] | None = None) -> DataFrame:
@@ -114,12 +152,22 @@ class _Plan:
         self.columns = list(df.columns)
         self.sources = sources
         self.reasons: list[tuple[Column, Column]] = []
+        self.cached: dict[str, Column] = {}
         self.count = 0
 
     def name(self, stem: str) -> str:
         self.count += 1
         return f"_rv_{stem}{self.count}"
 
+    def fails(self, key: str, text: str) -> Column:
+        """Every row fails, as this entry cannot be looked up at all."""
+        self.reasons.append((F.lit(True), F.lit(f"{key}: {text}")))
+        return F.lit(None).cast("string")
+
+    def finish(self) -> DataFrame:
+        """The rows with all lookups joined; those in the cache meet it together."""
+        return attach_lookups(self.df, self.sources["cache"], self.cached) if self.cached else self.df
+
     def entry(self, key: str, spec: Any) -> Column:
         if not isinstance(spec, Mapping):
             if spec is None:
@@ -135,9 +183,12 @@ class _Plan:
         kind = spec.get("type", "")
         rendered = F.nullif(render_template(value, self.columns), F.lit(""))
         if kind in CACHE_TYPES:
-            found = self.name("cache")
-            self.df = attach_lookup(self.df, self.sources["cache"], rendered, found)
-            result = F.col(found)
+            if "cache" in self.sources:
+                found = self.name("cache")
+                self.cached[found] = rendered
+                result = F.col(found)
+            else:
+                result = self.fails(key, "there is no cache to look in")
         elif kind in TABLE_TYPES:
             result = self._cell(key, spec, rendered)
         elif kind == "SQL":
@@ -151,8 +202,10 @@ class _Plan:
 
     def _cell(self, key: str, spec: Mapping[str, Any], rendered: Column) -> Column:
         if TABLE_NAME not in spec:
-            raise ValueError(f"{TABLE_NAME} argument missing for {key}")
+            return self.fails(key, f"{TABLE_NAME} argument missing")
         table = spec[TABLE_NAME]
+        if table not in self.sources.get("tables", {}):
+            return self.fails(key, f"there is no table {table} to look in")
         last, many, lookup = self.name("last"), self.name("many"), self.name("cell")
         right = single_rows(self.sources["tables"][table], spec.get("match")).toDF(lookup, last, many)
         left = self.df.withColumn("_rv_key", rendered)
@@ -161,9 +214,14 @@ class _Plan:
         return F.col(last)
 
     def _query(self, key: str, spec: Mapping[str, Any], text: str) -> Column:
-        if re.search(REFERENCE, text):
-            raise ValueError(f"{key}: correlate a query with 'on' instead of ${{…}} inside its text")
-        result = self.df.sparkSession.sql(text)
+        try:
+            if has_references(text):
+                return self._templated(spec, text)
+            result = self.df.sparkSession.sql(text)
+        except (PySparkException, TemplateError) as error:
+            # the failing text goes with the reason
+            said = str(error)
+            return self.fails(key, said if text in said else f"{said}\n{text}")
         on = spec.get("on")
         if not on:
             order = spec.get("order-by")
@@ -180,6 +238,22 @@ class _Plan:
         self.df = self.df.join(first, condition, "left").drop(*[f"_rv_q{i}" for i in range(len(on))])
         return F.col(found)["v"]
 
+    def _templated(self, spec: Mapping[str, Any], text: str) -> Column:
+        """A query whose text refers to the row: its rows come with the values they were asked by."""
+        template, result, ties = correlated(self.df, text)
+        order = list(dict.fromkeys([*(spec.get("order-by") or ()), *[c for c in result.columns if c not in ties]]))
+        found = self.name("first")
+        first = first_values(result, list(ties), order, result.columns[0]).withColumnRenamed("_rv_first", found)
+        rows = asking(self.df, template)
+        same = F.lit(True)
+        for i, name in enumerate(ties):
+            same = same & (rows[name] == first[f"_rv_q{i}"])
+        bad = self.name("bad")
+        rows = rows.withColumn(bad, template.reason)
+        self.df = rows.join(first, same, "left").drop(*ties, *[f"_rv_q{i}" for i in range(len(ties))])
+        self.reasons.append((F.col(bad).isNotNull(), F.col(bad)))
+        return F.col(found)["v"]
+
 
 def enrich(df: DataFrame, spec: str | Mapping[str, Any], sources: Mapping[str, Any] | None = None) -> DataFrame:
     """Look up named values and put them into columns and/or a sorted JSON object in the content.
@@ -192,9 +266,12 @@ def enrich(df: DataFrame, spec: str | Mapping[str, Any], sources: Mapping[str, A
     * ``HBASE`` kinds: ``value`` selects a row of the cells table ``sources["tables"][spec["hbase-table"]]``
       by row key, or by the cell named in ``match``; its last cell is the result, several rows are a failure;
     * ``SQL``: ``value`` is a query whose first column and first row (by ``order-by``) is the result, tied to
-      the row through ``on`` (column of the row to column of the query).
+      the row through ``on`` (column of the row to column of the query) or ``${name}`` in its text (see
+      :func:`rivulet.functions.template.sql_template`).
 
-    A failing row keeps its content, gets null values and goes to ``failure``.
+    A failing row keeps its content, gets null values and goes to ``failure``. So do all rows if an entry names a source
+    that is not there or a query that cannot be planned. For a spec per row see
+    :func:`rivulet.operators.lookup_each.enrich_each`.
     """
     if isinstance(spec, str):
         try:
@@ -207,7 +284,7 @@ def enrich(df: DataFrame, spec: str | Mapping[str, Any], sources: Mapping[str, A
     reason = F.lit(None).cast("string")
     for bad, text in reversed(plan.reasons):
         reason = F.when(bad, text).otherwise(reason)
-    work = plan.df.withColumn("_rv_reason", reason)
+    work = plan.finish().withColumn("_rv_reason", reason)
     fine = F.col("_rv_reason").isNull()
     added = {name: F.when(fine, value) for name, value in to_columns.items()}
     if TO_JSON in spec:

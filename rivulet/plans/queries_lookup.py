@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import (
     attach_lookup,
     enrich,
+    enrich_each,
     kt_check_and_put,
     kt_contains,
     kt_get,
@@ -548,3 +549,135 @@ def remove_results(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey")
     change = kt_remove(customer_cells(spark, sf_dir), parts, "p_partkey")
     return change.results.withColumn("existed", F.col("existed").cast("int"))
+
+
+@query("sql_rows_template", _ROWS)
+def rows_of_template(spark, sf_dir):
+    """As sql_rows, the row's key written into the query's text, outside quotes and (as text) within."""
+    orders = view(spark, sf_dir, "orders")
+    text = f"""
+        select o_orderkey, o_orderstatus from {orders} -- of customer ${{c_custkey}}
+        where o_custkey = ${{c_custkey}} and concat('c-', o_custkey) = 'c-${{c_custkey}}';
+    """
+    out = sql_rows(table(spark, sf_dir, "customer").select("c_custkey"), text, order_by=["o_orderkey"])
+    # numbers in order of the key, which the row's text order is not
+    return out.select("c_custkey", "o_orderkey", "o_orderstatus", "fragment_index", "fragment_count", "route")
+
+
+@query(
+    "sql_scalar_template",
+    """
+    select c_custkey, case when c_custkey % 10 = 0 then 'failure' else 'success' end as route,
+           case when c_custkey % 10 <> 0 then cast(count(o_orderkey) as varchar) end as orders
+    from customer left join orders on o_custkey = c_custkey group by c_custkey
+    """,
+)
+def scalar_of_template(spark, sf_dir):
+    """A count for each row; text that is no number outside quotes fails its row."""
+    orders = view(spark, sf_dir, "orders")
+    number = F.concat(F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 10 == 0, F.lit("?")).otherwise(F.lit("")))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", number.alias("number"))
+    out = sql_scalar(customers, f"select count(*) from {orders} where o_custkey = ${{number}}", into="orders")
+    return out.select("c_custkey", "route", "orders")
+
+
+@query(
+    "enrich_sql_template",
+    f"""
+    select c_custkey, coalesce(o_orderstatus, '-') as first_status, coalesce(n, 0) as orders, 'success' as route
+    from customer left join {_FIRST_ORDER} f on f.o_custkey = c_custkey
+      left join (select o_custkey, count(*) as n from orders where o_orderstatus = 'F' group by 1) g on g.o_custkey = c_custkey
+    """,
+)
+def enrich_templated(spark, sf_dir):
+    orders = view(spark, sf_dir, "orders")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.lit("F").alias("wanted"))
+    spec = {
+        "extract-to-attributes": {
+            "first_status": {
+                "type": "SQL", "value": f"select o_orderstatus, o_orderkey from {orders} where o_custkey = ${{c_custkey}}",
+                "order-by": ["o_orderkey"], "default": "-",
+            },
+            "orders": {
+                "type": "SQL", "value": f"select count(*) from {orders} where o_custkey = ${{c_custkey}} and o_orderstatus = '${{wanted}}'",
+                "to-type": "long",
+            },
+        }
+    }
+    return enrich(customers, spec).select("c_custkey", "first_status", "orders", "route")
+
+
+@query(
+    "enrich_failures",
+    """
+    select c_custkey, kind, 'failure' as route, 'before' as content,
+      case kind when 'cache' then 'x: there is no cache to look in' when 'table' then 'x: there is no table gone to look in'
+        when 'argument' then 'x: hbase-table argument missing' else 'x: no column for ${nope} outside quotes in: select ${nope}' end as reason
+    from customer, (values ('cache'), ('table'), ('argument'), ('query')) as k(kind)
+    """,
+)
+def enrich_that_fails(spark, sf_dir):
+    """Entries that cannot be looked up at all send every row to failure, content untouched."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.lit("before").alias("content"))
+    broken = {
+        "cache": {"value": "${c_custkey}", "type": "CACHE"},
+        "table": {"value": "${c_custkey}", "type": "HBASE", "hbase-table": "gone"},
+        "argument": {"value": "${c_custkey}", "type": "HBASE"},
+        "query": {"value": "select ${nope}", "type": "SQL"},
+    }
+    tables = {"tables": enrichment_sources(spark, sf_dir)["tables"]}
+    out = None
+    for kind, entry in broken.items():
+        rows = enrich(customers.withColumn("kind", F.lit(kind)), {"extract-to-json": {"x": entry}}, tables)
+        out = rows if out is None else out.unionAll(rows)
+    return out.select("c_custkey", "kind", "route", "content", F.col("failure_reason").alias("reason"))
+
+
+@query(
+    "enrich_spec_column",
+    """
+    select c_custkey, case when c_custkey % 4 = 3 or c_custkey % 4 = 2 and c_custkey % 20 = 2 then 'failure' else 'success' end as route,
+      case when c_custkey % 4 = 0 then '{"nation":"' || n_name || '","no":' || c_nationkey || '}'
+        when c_custkey % 4 = 2 and c_custkey % 20 <> 2 then '{"segment":"' || c_mktsegment || '"}' else 'before' end as content,
+      case when c_custkey % 4 = 1 then coalesce(cast(s_nationkey as varchar), 'none') end as supplier_nation,
+      case when c_custkey % 4 = 3 then 'the spec is no JSON object'
+        when c_custkey % 20 = 2 then 'segment: there is no table gone to look in' end as reason
+    from customer left join nation on n_nationkey = c_nationkey left join supplier on s_suppkey = c_custkey
+    """,
+)
+def enrich_by_own_spec(spark, sf_dir):
+    """Four kinds of specs in a column: cache and typed literal, cell with default, cell of one's own key, broken."""
+    which = F.col("c_custkey") % 4
+    gone = F.when(F.col("c_custkey") % 20 == 2, F.lit("gone")).otherwise(F.lit("customer"))
+    spec = (
+        F.when(which == 0, F.lit('{"extract-to-json":{"nation":{"value":"${c_nationkey}","type":"CACHE"},"no":{"value":"${c_nationkey}","to-type":"long"}}}'))
+        .when(which == 1, F.lit('{"extract-to-attributes":{"supplier_nation":{"value":"${c_custkey}","type":"HBASE","hbase-table":"supplier","default":"none"}}}'))
+        .when(which == 2, F.concat(F.lit('{"extract-to-json":{"segment":{"value":"${c_custkey}","type":"HBASE_SCAN","hbase-table":"'), gone, F.lit('"}}}')))
+        .otherwise(F.lit("{broken"))
+    )
+    customers = table(spark, sf_dir, "customer").withColumns({"spec": spec, "content": F.lit("before")})
+    out = enrich_each(customers, "spec", enrichment_sources(spark, sf_dir))
+    return out.select(
+        "c_custkey", "route", "content", F.try_element_at("attributes", F.lit("supplier_nation")).alias("supplier_nation"),
+        F.col("failure_reason").alias("reason"),
+    )
+
+
+@query(
+    "enrich_many_lookups",
+    """
+    select c_custkey, a.n_name as c0, b.n_name as c1, d.n_name as c2, coalesce(e.n_name, 'none') as c3
+    from customer left join nation a on a.n_nationkey = c_nationkey left join nation b on b.n_nationkey = c_custkey % 25
+      left join nation d on d.n_nationkey = (c_custkey + c_nationkey) % 25 left join nation e on e.n_nationkey = c_custkey
+    """,
+)
+def enrich_many(spark, sf_dir):
+    """Several entries of one lookup meet it in one join."""
+    customers = table(spark, sf_dir, "customer").withColumns({
+        "k1": F.col("c_custkey") % 25, "k2": (F.col("c_custkey") + F.col("c_nationkey")) % 25,
+    })
+    keys = {"c0": "${c_nationkey}", "c1": "${k1}", "c2": "${k2}"}
+    entries = {name: {"value": key, "type": "CACHE"} for name, key in keys.items()}
+    entries["c3"] = {"value": "${c_custkey}", "type": "CACHE", "default": "none"}
+    out = enrich(customers, {"extract-to-attributes": entries}, enrichment_sources(spark, sf_dir))
+    return out.select("c_custkey", *entries)

@@ -9,16 +9,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import strip_qualifier, to_text
-from ..functions.template import quoted
+from ..functions.template import TemplateError, has_references, quoted
 from ..operators.lookup import first_values
-from ..operators.routing import failing, with_route
+from ..operators.routing import REASON as FAILURE
+from ..operators.routing import ROUTE, failing, with_route
+from ..plans.correlated import asking, correlated
 from ..plans.skew import CHUNK, DEFAULT_HOT_ROWS, numbered
 
 
+#: What keeps a row from asking a query whose text refers to it.
+REASON = "_rv_reason"
+
+
 def _frame(spark: SparkSession, query: str | DataFrame) -> DataFrame:
     return query if isinstance(query, DataFrame) else spark.sql(query)
 
 
+def _said(error: Exception, query: str) -> str:
+    text = str(error)
+    return text if query in text else f"{text}\n{query}"
+
+
 def sql_rows(
     df: DataFrame | None,
     query: str | DataFrame,
@@ -32,12 +43,26 @@ def sql_rows(
 ) -> DataFrame:
     """One output row per query row, every value as text, with fragment columns.
 
-    ``params`` ties the query to the input rows (input column to query column); a row without a match goes to
-    ``empty``. With ``df=None`` the query stands alone. ``query`` is SQL text or a DataFrame (a JDBC read, say).
+    A SQL text may name columns of the input row as ``${name}``, within quotes or outside (see
+    :func:`rivulet.functions.template.sql_template`); it is planned once, as a lateral join, and run once for each
+    distinct combination of their values. A row whose values do not fit the text goes to ``failure`` with the text. Otherwise ``params`` ties the query
+    to the input rows (input column to query column). A row without a match goes to ``empty``. With ``df=None`` the query stands alone. ``query`` is SQL text or a DataFrame (a JDBC read, say).
     Rows that ``order_by`` leaves tied go by all their columns as text, so fragments are numbered the same at any size.
     A query that cannot be planned raises, or with ``block_on_failure=False`` sends the rows to ``failure``.
     """
     session = df.sparkSession if df is not None else spark
+    if df is not None and isinstance(query, str) and has_references(query):
+        try:
+            template, result, ties = correlated(df, query)
+        except (PySparkException, TemplateError) as error:
+            if block_on_failure:
+                raise
+            return failing(df, F.lit(_said(error, query)))
+        rows = asking(df.withColumn(REASON, template.reason), template)
+        fine, bad = (rows.filter(f"{REASON} is {x} null") for x in ("", "not"))
+        out = sql_rows(fine, result, ties, order_by, strip_qualifiers=strip_qualifiers, hot_rows=hot_rows)
+        bad = failing(bad, F.col(REASON)).select(*df.columns, *[c for c in (ROUTE, FAILURE) if c not in df.columns])
+        return out.unionByName(bad, allowMissingColumns=True)
     if df is not None and not params:
         raise ValueError("params must tie the query to the input rows")
     try:
@@ -109,8 +134,24 @@ def sql_scalar(
 ) -> DataFrame:
     """First column of the first query row (by ``order_by``) as text; no row at all goes to ``empty``.
 
-    Without ``params`` the query is the same for every input row, so its one value is read once.
+    A SQL text may name columns of the input row as ``${name}``, as in :func:`sql_rows`; its first row is that of
+    ``order_by``, then of all columns. Without that and without ``params`` the query is the same for every input row,
+    so its one value is read once.
     """
+    if isinstance(query, str) and has_references(query):
+        try:
+            template, result, ties = correlated(df, query)
+        except (PySparkException, TemplateError) as error:
+            if block_on_failure:
+                raise
+            return failing(df, F.lit(_said(error, query)))
+        order = list(dict.fromkeys([*order_by, *[c for c in result.columns if c not in ties]]))
+        first = first_values(result, list(ties), order, result.columns[0])
+        rows = asking(df.withColumn(REASON, template.reason), template)
+        same = F.lit(True)
+        for i, name in enumerate(ties):
+            same = same & (rows[name] == first[f"_rv_q{i}"])
+        return _with_first(rows.join(first, same, "left"), df, into, F.col(REASON))
     try:
         result = _frame(df.sparkSession, query)
     except PySparkException as error:
@@ -131,11 +172,15 @@ def sql_scalar(
     condition = F.lit(True)
     for i in range(len(params)):
         condition = condition & (parents[f"_rv_p{i}"] == first[f"_rv_q{i}"])
-    joined = parents.join(first, condition, "left")
+    return _with_first(parents.join(first, condition, "left"), df, into, F.lit(None).cast("string"))
+
+
+def _with_first(joined: DataFrame, df: DataFrame, into: str, reason: Column) -> DataFrame:
+    """The value found goes into a column; rows without any are ``empty``, rows with a reason fail."""
     found = F.col("_rv_first").isNotNull()
     kept = quoted(into).cast("string") if into in df.columns else F.lit(None).cast("string")
     joined = joined.withColumn(into, F.when(found, to_text(F.col("_rv_first.v"))).otherwise(kept))
-    out = with_route(joined, F.when(found, F.lit("success")).otherwise(F.lit("empty")))
+    out = failing(joined, reason, F.when(found, F.lit("success")).otherwise(F.lit("empty")))
     return out.drop(*[c for c in out.columns if c.startswith("_rv_")])
 
 
@@ -167,8 +212,10 @@ def run_sql_script(
 
 def _truncate(spark: SparkSession, name: str) -> None:
     if spark.catalog.getTable(name).tableType == "EXTERNAL":
-        # TRUNCATE refuses tables with a location of their own; overwriting with nothing empties them.
-        spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
+        # TRUNCATE refuses tables with a location of their own; overwriting with nothing empties them, all partitions
+        # whatever mode the session is in.
+        nothing = spark.createDataFrame([], spark.table(name).schema)
+        nothing.write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=True)
     else:
         spark.sql(f"TRUNCATE TABLE {name}")
 

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.operators import attach_lookup, enrich, sql_to_lookup
+from rivulet.operators import attach_lookup, enrich, enrich_each, sql_to_lookup
 from rivulet.sources import ingest_files, remove_sources, run_sql_script, sql_rows, sql_scalar, stream_files, truncate_tables
 
 
@@ -64,8 +64,18 @@ def test_enrich_failures(spark):
     bad = {r.id: r for r in enrich(df, {"extract-to-attributes": {"n": {"value": "${word}", "to-type": "int"}}}).collect()}
     assert bad[1].route == "failure" and "cannot convert 'two'" in bad[1].failure_reason and bad[1].n is None
     assert enrich(df, "{oops").first().route == "failure"
-    with pytest.raises(ValueError, match="hbase-table"):
-        enrich(df, {"extract-to-json": {"x": {"value": "1", "type": "HBASE"}}}, sources(spark))
+    table = {"value": "1", "type": "HBASE", "hbase-table": "t"}
+    broken = {
+        "hbase-table argument missing": {"value": "1", "type": "HBASE"}, "no table gone": {**table, "hbase-table": "gone"},
+        "no_such_table": {"value": "select x from no_such_table where k = ${id}", "type": "SQL"},
+        "no cache": {"value": "1", "type": "CACHE"}, "no column for ${nope}": {"value": "select ${nope}", "type": "SQL"},
+        "cannot limit": {"value": "select '${id}' limit 1", "type": "SQL"}, "no_table_2": {"value": "select 1 from no_table_2", "type": "SQL"},
+    }
+    for said, entry in broken.items():
+        rows = enrich(df, {"extract-to-json": {"x": entry}, "extract-to-attributes": {"y": "z"}}, {"tables": sources(spark)["tables"]}).collect()
+        assert len(rows) == 3
+        for r in rows:
+            assert (r.route, r.content, r.y) == ("failure", "body", None) and said in r.failure_reason and "x: " in r.failure_reason
 
 
 @pytest.mark.parametrize("hot_rows", [10, 10**9])
@@ -184,3 +194,98 @@ def test_enrich_bad_default_and_order_without_on(spark):
     assert bad.route == "failure" and bad.x is None and "abc" in bad.failure_reason
     spec = {"extract-to-attributes": {"x": {"value": "select n from ordered_numbers", "type": "SQL", "order-by": ["n"]}}}
     assert enrich(df, spec).first().x == "1"
+
+
+def test_many_cache_entries_are_one_join(spark):
+    df = spark.createDataFrame([(i, f"k-{i % 3}", "dup") for i in range(6)] + [(1, "k-1", "dup"), (9, None, None)], "id int, k string, v string")
+    spec = {"extract-to-attributes": {f"c{i}": {"value": "k-${id}" if i % 2 else "${k}", "type": "CACHE", "default": f"d{i}"} for i in range(10)}}
+    out = enrich(df, spec, sources(spark))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    rows = out.collect()
+    assert len(rows) == 8
+    for r in rows:
+        for i in range(10):
+            key = f"k-{r.id}" if i % 2 else (r.k or "")
+            assert r[f"c{i}"] == ({"k-1": "v1"}.get(key) or f"d{i}")
+
+
+def test_rows_without_a_key_do_not_meet(spark):
+    df = spark.range(1000).selectExpr("cast(null as string) as k", "id")
+    lookup = spark.createDataFrame([("\x000", "never"), ("a", "b")], "key string, value string")
+    out = attach_lookup(df, lookup, "${k}", "found")
+    assert out.filter("found is not null").count() == 0 and out.count() == 1000
+
+
+def test_queries_that_refer_to_the_row(spark):
+    spark.createDataFrame([(1, "a", 10), (1, "b", 20), (2, "x-it's-y", 30)], "k int, t string, v int").createOrReplaceTempView("asked")
+    df = spark.createDataFrame([(1, "1", "a", "c"), (2, " 2.0 ", "it's", "c"), (3, None, "a", "c"), (1, "zz", "a", "c")], "id int, k string, s string, content string")
+
+    def found(query, **more):
+        rows = sql_rows(df, query, order_by=["v"], block_on_failure=False, **more).collect()
+        return ((r.id, r.s, r.v, r.fragment_index, r.fragment_count, r.route) for r in rows)
+
+    assert sorted(found("select v from asked where k = ${id}"), key=repr) == sorted([
+        (1, "a", "10", 1, 2, "success"), (1, "a", "20", 2, 2, "success"), (1, "a", "10", 1, 2, "success"), (1, "a", "20", 2, 2, "success"),
+        (2, "it's", "30", 1, 1, "success"), (3, "a", None, None, None, "empty"),
+    ], key=repr)
+    # within quotes, next to other text, in a comment, and an unknown name
+    quoted = sql_rows(df, "select v, '${nope}' as n from asked where t = 'x-${s}-y' -- ${id}\n;", order_by=["v"]).collect()
+    assert {(r.id, r.v, r.n, r.route) for r in quoted} == {(2, "30", "", "success"), (1, None, None, "empty"), (3, None, None, "empty")}
+    # text outside quotes has to read as a number
+    rows = {(r.id, r.k): r for r in sql_scalar(df, "select v from asked where k = ${k} + 0", into="got").collect()}
+    assert rows[1, "1"].got == "10" and rows[2, " 2.0 "].got == "30"
+    for bad in (rows[3, None], rows[1, "zz"]):
+        assert bad.route == "failure" and "select v from asked where k = ${k}" in bad.failure_reason and bad.got is None
+    # aggregates, and the first row of a text's own choice
+    assert {r.id: r.content for r in sql_scalar(df, "select count(*) from asked where k >= ${id}").collect()} == {1: "3", 2: "1", 3: "0"}
+    assert sql_scalar(df.limit(1), "select v, t from asked where k = ${id}", order_by=["t"]).first().content == "10"
+    assert sql_scalar(df.limit(1), 'select v from asked where t = "${s}" or `t` = \'q\'').first().content == "10"
+    for text, said in [("select v from ${s}", "select v from ${s}"), ("select ${nope}", "no column"), ("select v from asked where k = ${id} limit 1", "cannot limit")]:
+        for operator in (sql_rows, sql_scalar):
+            with pytest.raises(Exception):
+                operator(df, text)
+            rows = operator(df, text, block_on_failure=False).collect()
+            assert [r.route for r in rows] == ["failure"] * 4 and all(said in r.failure_reason for r in rows)
+
+
+def test_a_column_of_the_query_may_have_any_name(spark):
+    spark.createDataFrame([(1, "a")], "id int, content string").createOrReplaceTempView("same_names")
+    df = spark.createDataFrame([(1, "old"), (2, "old")], "id int, content string")
+    rows = {r.content: r.id for r in sql_rows(df, "select * from same_names where id = ${id}").collect()}
+    assert rows == {"a": 1, "old": 2}
+
+
+def test_enrich_with_a_templated_query(spark):
+    spark.createDataFrame([(1, "b"), (1, "a"), (2, None)], "k int, v string").createOrReplaceTempView("enrich_asked")
+    df = spark.createDataFrame([(1, "x"), (2, "x"), (3, "x"), (None, "x")], "id int, content string")
+    spec = {"extract-to-attributes": {"got": {"type": "SQL", "value": "select v, k from enrich_asked where k = ${id}", "default": "none"}}}
+    rows = {r.id: r for r in enrich(df, spec).collect()}
+    assert (rows[1].got, rows[2].got, rows[3].got) == ("a", "none", "none")
+    assert rows[None].route == "failure" and "enrich_asked" in rows[None].failure_reason
+
+
+def test_a_spec_per_row(spark):
+    specs = [
+        '{"extract-to-attributes":{"w":"w:${word}","n":null,"c":{"value":"k-${id}","type":"CACHE","default":"d"}}}',
+        '{"extract-to-json":{"b":{"value":"4${id}","to-type":"long"},"a":{"value":"","default":2.5,"to-type":"double"},"t":"x${nope}y","z":null}}',
+        '{"extract-to-json":{"cell":{"value":"1","type":"HBASE","hbase-table":"t"}},"extract-to-attributes":{"m":{"value":"one","type":"HBASE_FILTER","hbase-table":"t","match":{"family":"f","qualifier":"n"}}}}',
+        '{"extract-to-attributes":{"m":{"value":"two","type":"HBASE_FILTER","hbase-table":"t","match":{"family":"f","qualifier":"n"}}}}',
+        '{"extract-to-attributes":{"m":{"value":"x","to-type":"int"}}}', "{oops", "[1]", None, "{}",
+        '{"extract-to-attributes":{"m":{"value":"1","type":"HBASE","hbase-table":"gone"}}}',
+        '{"extract-to-attributes":{"m":{"value":"select 1","type":"SQL"}}}',
+        '{"extract-to-attributes":{"m":{"value":"1","type":"HBASE"}}}',
+    ]
+    df = spark.createDataFrame([(i + 1, "word", s, "body") for i, s in enumerate(specs)], "id int, word string, spec string, content string")
+    rows = {r.id: r for r in enrich_each(df, "spec", sources(spark)).collect()}
+    assert len(rows) == len(specs)
+    assert rows[1].attributes == {"w": "w:word", "n": None, "c": "v1"} and rows[1].content == "body" and rows[1].route == "success"
+    assert rows[2].content == '{"a":2.5,"b":42,"t":"xy","z":null}' and rows[2].attributes == {}
+    assert rows[3].content == '{"cell":"last"}' and rows[3].attributes == {"m": "last"}
+    said = {4: "several rows in t", 5: "cannot convert 'x' to int", 6: "no JSON object", 7: "no JSON object", 8: "no JSON object",
+            10: "no table gone", 11: "cannot be planned: select 1", 12: "hbase-table argument missing"}
+    for i, text in said.items():
+        assert rows[i].route == "failure" and text in rows[i].failure_reason and rows[i].content == "body" and rows[i].attributes is None
+    assert rows[9].route == "success" and rows[9].attributes == {} and rows[9].content == "body"
+    bare = enrich_each(df.drop("content"), "spec").collect()
+    assert {r.id: r.failure_reason for r in bare}[1] == "c: there is no cache to look in"
