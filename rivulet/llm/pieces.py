@@ -16,8 +16,8 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -25,7 +25,7 @@ from .common import Recent, in_arrow
 
 MARK = "▁"
 #: Entries after which a worker's table of units is halved, and that of pairs emptied.
-UNITS, PAIRS = 250_000, 1_000_000
+UNITS, PAIRS = 500_000, 1_000_000
 
 
 class PieceModel:
@@ -48,14 +48,13 @@ class PieceModel:
         breaks = "".join(c for c in "\n\r\t" if not any(c in p for p in self.ids))
         self.unit = re.compile(f"{MARK}+[^{MARK}{breaks}]*|[^{MARK}{breaks}]+|[{breaks}]" if breaks else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.texts: list[str] = list(self.ids)
-        self.numbers = [self.ids[p] for p in self.texts]
-        self.root: dict = {}  # the automaton: a character leads to the next state, "" to the piece that ends there
+        self.numbers = [str(self.ids[p]) for p in self.texts]
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for number, piece in enumerate(self.texts):
             if self.merged(piece) == [piece]:  # others never come out of merging
-                state = self.root
-                for c in piece:
-                    state = state.setdefault(c, {})
-                state[""] = number
+                self.automaton.add_word(piece, number)
+        self.automaton.make_automaton()
+        self.lengths = [len(p) for p in self.texts]
         self.units = Recent(UNITS)
         self.pairs: dict[int, bool] = {}
 
@@ -80,46 +79,41 @@ class PieceModel:
         value = self.pairs[left | right] = a + b not in self.ids and self.merged(a + b) == [a, b]
         return value
 
-    def encode_unit(self, unit: str) -> tuple[list[int], str]:
+    def encode_unit(self, unit: str) -> str:
+        """The ids of a unit in decimal, joined by commas."""
         size = len(unit)
         last = [-1] * (size + 1)  # number of the last piece of each prefix; -1 where a character is in no piece
-        length = [1] * (size + 1)
-        pairs, fits, root = self.pairs, self.fits, self.root
-        for begin in range(size):
+        pairs, lengths = self.pairs, self.lengths
+        for at, number in self.automaton.iter(unit):
+            if last[at + 1] >= 0:  # a prefix has one last piece
+                continue
+            begin = at + 1 - lengths[number]
             left = last[begin] << 20
-            state = root
-            for end in range(begin, size):
-                state = state.get(unit[end])
-                if state is None:
-                    break
-                number = state.get("")
-                if number is not None:
-                    if left >= 0 and begin:
-                        ok = pairs.get(left | number)
-                        if ok is None:
-                            ok = fits(left, number)
-                        if not ok:
-                            continue
-                    last[end + 1], length[end + 1] = number, end + 1 - begin
-        out: list[int] = []
+            if begin and left >= 0:
+                ok = pairs.get(left | number)
+                if not (self.fits(left, number) if ok is None else ok):
+                    continue
+            last[at + 1] = number
+        out: list[str] = []
         at, numbers = size, self.numbers
         while at:
-            if last[at] >= 0:
-                out.append(numbers[last[at]])
+            number = last[at]
+            if number >= 0:
+                out.append(numbers[number])
+                at -= lengths[number]
             else:
-                out.extend(self.byte_ids[b] for b in reversed(unit[at - 1].encode()))
-            at -= length[at]
+                out.extend(str(self.byte_ids[b]) for b in reversed(unit[at - 1].encode()))
+                at -= 1
         out.reverse()
-        return out, ",".join(map(str, out))
+        return ",".join(out)
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """The ids, and their decimal form joined by commas."""
         if not text:
             return [], ""
         units = self.unit.findall(MARK + text.replace(" ", MARK))
-        known = self.units.with_all(units, lambda missing: map(self.encode_unit, missing))
-        found = [known[u] for u in units]
-        return list(chain.from_iterable([f[0] for f in found])), ",".join([f[1] for f in found])
+        joined = ",".join(map(self.units.with_all(units, lambda missing: map(self.encode_unit, missing)).__getitem__, units))
+        return list(map(int, joined.split(","))), joined
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids) if ids else ""
