@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,6 +103,24 @@ def rolled(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def packed(columns: list[np.ndarray], types: list) -> bytes:
+    """Columns byte by byte (first bytes of all values, second bytes, ...), which compresses well."""
+    planes = [c.astype(t).view(np.uint8).reshape(len(c), -1).T.tobytes() for c, t in zip(columns, types)]
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def unpacked(data: bytes, types: list) -> list[np.ndarray]:
+    """The columns of :func:`packed`."""
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    n = len(raw) // sum(np.dtype(t).itemsize for t in types)
+    out, at = [], 0
+    for t in types:
+        width = np.dtype(t).itemsize
+        out.append(np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(t).ravel())
+        at += n * width
+    return out
+
+
 def in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` over the columns ``df`` has; ``function`` yields dicts of columns in the schema's order."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -24,13 +24,12 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import in_arrow, mixed
+from .common import in_arrow, mixed, packed, unpacked
 
 #: Longest phrase; bytes of text that are counted together; bytes of text for each bucket of counts.
 LONGEST, SLICE, BUCKET_BYTES = 4, 8 << 20, 2 << 20
@@ -144,27 +143,8 @@ class _Slice:
         return keys[cuts], np.diff(np.append(cuts, len(keys))), at[cuts]
 
 
-_PARTS = (
-    ("key", np.uint64), ("check", np.uint32), ("n", np.uint8), ("count", np.int64), ("row", np.int32), ("start", np.int32),
-    ("size", np.int32),
-)
-
-
-def _packed(columns: list[np.ndarray]) -> bytes:
-    """Columns byte by byte (first bytes of all values, second bytes, ...), which compresses well."""
-    planes = [c.astype(t).view(np.uint8).reshape(len(c), -1).T.tobytes() for c, (_, t) in zip(columns, _PARTS)]
-    return zstandard.compress(b"".join(planes), 1)
-
-
-def _unpacked(data: bytes) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    n = len(raw) // sum(np.dtype(t).itemsize for _, t in _PARTS)
-    out, at = [], 0
-    for _, t in _PARTS:
-        width = np.dtype(t).itemsize
-        out.append(np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(t).ravel())
-        at += n * width
-    return out
+#: What is sent of an n-gram: fingerprint, check hash, words, count, row in its slice, first byte and bytes in its text.
+_TYPES = [np.uint64, np.uint32, np.uint8, np.int64, np.int32, np.int32, np.int32]
 
 
 def _slices(docs: DataFrame) -> DataFrame:
@@ -239,14 +219,14 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
                 ]
                 cuts = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
                 held = np.flatnonzero(np.diff(cuts))
-                bodies = [_packed([c[cuts[b] : cuts[b + 1]] for c in columns]) for b in held]
+                bodies = [packed([c[cuts[b] : cuts[b + 1]] for c in columns], _TYPES) for b in held]
                 yield _batch(held, [base] * len(held), [None] * len(held), [0] * len(held), bodies)
 
     def add(table: pd.DataFrame) -> pd.DataFrame:
         if table["bucket"].iloc[0] < 0:
             sums = table.groupby("lang")["words"].sum()
             return pd.DataFrame({"slice": pd.array([None] * len(sums), "Int64"), "body": None, "lang": sums.index, "words": sums.values})
-        parts = [_unpacked(x) for x in table["body"]]
+        parts = [unpacked(x, _TYPES) for x in table["body"]]
         part = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
         columns = [np.concatenate(x) for x in zip(*parts)]
         del parts
@@ -266,7 +246,7 @@ def _frequent(texts: DataFrame, lengths: tuple[int, ...], least: int, buckets: i
         ends = np.append(starts[1:], len(often))
         return pd.DataFrame({
             "slice": pd.array(table["base"].to_numpy()[held], "Int64"),
-            "body": [_packed([c[often[a:b]] for c in columns]) for a, b in zip(starts, ends)], "lang": None, "words": None,
+            "body": [packed([c[often[a:b]] for c in columns], _TYPES) for a, b in zip(starts, ends)], "lang": None, "words": None,
         })
 
     sent = texts.mapInArrow(send, "bucket int, base long, lang string, words long, body binary")
@@ -296,7 +276,7 @@ def _pair_bits(frequent: DataFrame) -> bytes:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for body in batch.column("body").to_pylist():
-                key, _, n, *_ = _unpacked(body)
+                key, _, n, *_ = unpacked(body, _TYPES)
                 yield {"key": key[n == 2].view(np.int64)}
 
     pairs = in_arrow(frequent.filter("slice is not null").select("body"), keys, "key long").distinct()
@@ -320,7 +300,7 @@ def _phrases(texts: DataFrame, frequent: DataFrame, least: int) -> DataFrame:
             texts, langs = (rows.column(c).take(pa.array(order)).to_pylist() for c in ("text", "lang"))
             lang = pa.array(langs, pa.string())
             for body in places.column("body").to_pylist():
-                _, _, n, count, row, start, size = _unpacked(body)
+                _, _, n, count, row, start, size = unpacked(body, _TYPES)
                 spans = zip(row.tolist(), start.tolist(), (start + size).tolist())
                 phrases = [b" ".join(texts[r][a:b].lower().split()) for r, a, b in spans]
                 out.append(pa.table([lang.take(pa.array(row)), pa.array(phrases, pa.binary()).cast(pa.string()), n.astype(np.int32), count], schema=schema))
