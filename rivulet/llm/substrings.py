@@ -152,8 +152,9 @@ def repeated_ranges(docs: DataFrame, window: int = 20) -> DataFrame:
             order = np.lexsort((position, place[row], second, first, bucket))
             bucket, first, second, row, position = (x[order] for x in (bucket, first, second, row, position))
             new = np.append(True, (first[1:] != first[:-1]) | (second[1:] != second[:-1]))
-            # rows that count as one document are no repetition of each other
-            same = ~new & np.append(False, (ids[row][1:] == ids[row][:-1]) & (keys[row][1:] == keys[row][:-1]) & (position[1:] == position[:-1]))
+            # a row of the same document and place as the first of its window is that first one, met a second time
+            head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            same = ~new & (ids[row] == ids[row[head]]) & (keys[row] == keys[row[head]]) & (position == position[head])
             back = np.lexsort((position, row, bucket))
             bucket, first, second, row, position, new = (x[back] for x in (bucket, first, second, row, position, new))
             same = same[back]
