@@ -11,6 +11,7 @@ from .cells import (
     kt_remove,
     kt_remove_all,
     scan_cells,
+    scan_cells_per_record,
 )
 from .lookup import attach_lookup, attach_lookups, enrich, sql_to_lookup
 from .lookup_each import enrich_each

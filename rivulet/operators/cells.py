@@ -6,6 +6,7 @@ new version of the table out next to a per-request result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -14,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.template import has_references, quoted, render_template
 from ..plans.skew import CHUNK, DEFAULT_HOT_ROWS, OrderedGroups, numbered
 from ..session import last_key_wins, written
 from ..sources.tables import KeyedTable
-from .routing import with_route
+from .routing import failing, with_route
 
 CELL = ["row_key", "family", "qualifier"]
 CELL_VALUE = [*CELL, "value"]
@@ -98,6 +100,96 @@ def scan_cells(
     return with_route(rows, "success")
 
 
+def _split_points(cells: DataFrame, parts: int) -> list[str]:
+    """Row keys that cut the table into about ``parts`` equal pieces, from a sample; they only decide what meets where."""
+    every = cells.count() // (64 * parts) + 1
+    sample = cells.filter(F.pmod(F.xxhash64("row_key"), F.lit(every)) == 0).select("row_key").distinct()
+    keys = sorted(r[0] for r in sample.filter("row_key is not null").limit(1 << 16).collect())
+    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
+
+
+def scan_cells_per_record(
+    records: DataFrame,
+    cells: DataFrame,
+    *,
+    prefix: str | Column | None = None,
+    lower: str | Column | None = None,
+    upper: str | Column | None = None,
+    cell_filter: Column | None = None,
+    row_key_name: str = "row_key",
+    name_format: str = "qualifier",
+    table_name: str | None = None,
+    parts: int = 64,
+    hot_rows: int = DEFAULT_HOT_ROWS,
+) -> DataFrame:
+    """Each record scans the table by its own row keys: those with a prefix, or from ``lower`` up to below ``upper``.
+
+    The three are columns of ``records`` (or templates such as ``${region}-``). A row per record and row key comes out,
+    with the record's columns, the row's cells in the map column ``attributes``, and fragments numbered by row key
+    within the record. A record that finds nothing gives no row; one without a prefix, or with bounds that cross, goes
+    to ``failure`` with the reason, also as ``scan.failure.reason``. A bound that is null is open.
+
+    Row keys fall into ranges between split points of a sample, and a record meets only the ranges it reaches into, so
+    there is neither a pair for each record and row nor one task for all. Records and matches are stored.
+    """
+    if (prefix is None) == (lower is None and upper is None):
+        raise ValueError("a scan needs a prefix, or a lower or an upper bound")
+
+    def value(x: str | Column | None) -> Column:
+        if x is None:
+            return F.lit(None).cast("string")
+        if isinstance(x, str):
+            return render_template(x, records.columns) if has_references(x) else quoted(x).cast("string")
+        return x.cast("string")
+
+    asked = records.withColumns({"_rv_p": value(prefix), "_rv_lo": value(lower), "_rv_hi": value(upper)})
+    reason = F.when(F.lit(prefix is not None) & F.col("_rv_p").isNull(), F.lit("the record has no prefix")).when(
+        F.col("_rv_lo") > F.col("_rv_hi"), F.lit("the lower bound is above the upper")
+    )
+    asked = written(asked.withColumns({"_rv_no": F.monotonically_increasing_id(), "_rv_reason": reason}), "records")
+
+    points = _split_points(cells, parts)
+    cuts = F.array(*map(F.lit, points)).cast("array<string>")
+
+    def below(test) -> Column:
+        return F.size(F.filter(cuts, test)) if points else F.lit(0)
+
+    start = F.coalesce(F.col("_rv_p"), F.col("_rv_lo"), F.lit(""))
+    first = below(lambda p: p <= start)
+    last = F.when(
+        F.col("_rv_p").isNotNull(), below(lambda p: F.substring(p, F.lit(1), F.char_length("_rv_p")) <= F.col("_rv_p"))
+    ).when(F.col("_rv_hi").isNotNull(), below(lambda p: p < F.col("_rv_hi"))).otherwise(F.lit(len(points)))
+    asks = asked.filter("_rv_reason is null").select(
+        "_rv_no", "_rv_p", "_rv_lo", "_rv_hi", F.explode(F.sequence(first, F.greatest(first, last))).alias("_rv_bin")
+    )
+
+    kept = cells if cell_filter is None else cells.filter(cell_filter)
+    keys = kept.select("row_key").filter("row_key is not null").distinct()
+    keys = keys.withColumn("_rv_bin", below(lambda p: p <= F.col("row_key")))
+    inside = F.when(F.col("_rv_p").isNotNull(), F.col("row_key").startswith(F.col("_rv_p"))).otherwise(
+        F.coalesce(F.col("row_key") >= F.col("_rv_lo"), F.lit(True)) & F.coalesce(F.col("row_key") < F.col("_rv_hi"), F.lit(True))
+    )
+    met = written(asks.join(keys, "_rv_bin").filter(inside).select("_rv_no", "row_key"), "scanned")
+    order = numbered(met, ["_rv_no"], ["row_key"], hot_rows).result().withColumnsRenamed(
+        {"_rv_index": "fragment_index", "_rv_count": "fragment_count"}
+    )
+
+    last_key_wins(cells)
+    named = kept.withColumn("_rv_name", cell_name(name_format, table_name))
+    once = named.groupBy("row_key", "_rv_name").agg(F.max_by("value", F.struct("family", "qualifier")).alias("value"))
+    rows = once.groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("_rv_name", "value"))).alias("attributes"))
+    identified = asked.filter("_rv_reason is null").withColumn(
+        "fragment_identifier", F.concat_ws("-", F.lit(uuid.uuid4().hex), F.col("_rv_no"))
+    )
+    found = identified.join(order, "_rv_no").join(rows, "row_key")
+    found = with_route(found, "success").withColumn("scan.failure.reason", F.lit(None).cast("string"))
+    bad = asked.filter("_rv_reason is not null")
+    failed = failing(bad, F.col("_rv_reason")).withColumn("scan.failure.reason", F.col("_rv_reason"))
+    out = found.unionByName(failed, allowMissingColumns=True)
+    out = out.drop("_rv_no", "_rv_p", "_rv_lo", "_rv_hi", "_rv_reason")
+    return out.withColumnsRenamed({"row_key": row_key_name})
+
+
 def _named_cells(cells: DataFrame, family: str, qualifier: str) -> DataFrame:
     """One value per row key for one cell name."""
     wanted = cells.filter((F.col("family") == family) & (F.col("qualifier") == qualifier))

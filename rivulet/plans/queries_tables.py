@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import apply_changes, kt_put, kt_remove, kt_remove_all, settle_changes
+from ..operators import apply_changes, kt_put, kt_remove, kt_remove_all, scan_cells_per_record, settle_changes
 from ..session import work_path
 from ..sources import KeyedTable
 from .inputs import customer_cells, order_changes
@@ -175,3 +175,55 @@ def remove_all(spark, sf_dir):
         for name, rows in (("rows_before", before.read()), ("rows_after", after.read()), ("rows_of_version_before", KeyedTable.open(spark, made.path, before.version).read()))
     ]
     return counts[0].crossJoin(counts[1]).crossJoin(counts[2]).withColumn("version", F.lit(after.version))
+
+
+@query(
+    "scan_cells_per_record",
+    """
+    with asked as (
+      select s_suppkey, case when s_suppkey % 10 <> 3 then cast(s_suppkey as varchar) end as prefix from supplier)
+    select s_suppkey, cast(c_custkey as varchar) as key, c_name as name, c_mktsegment as segment, 'success' as route, null as reason,
+      row_number() over (partition by s_suppkey order by cast(c_custkey as varchar)) as fragment_index,
+      count(*) over (partition by s_suppkey) as fragment_count
+    from asked join customer on starts_with(cast(c_custkey as varchar), prefix)
+    union all
+    select s_suppkey, null, null, null, 'failure', 'the record has no prefix', null, null from asked where prefix is null
+    """,
+)
+def scan_by_prefix(spark, sf_dir):
+    """Each supplier scans the customers whose key begins with its own."""
+    number = F.col("s_suppkey").cast("string")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 10 != 3, number).alias("prefix"))
+    out = scan_cells_per_record(suppliers, customer_cells(spark, sf_dir), prefix="prefix", row_key_name="key", parts=16)
+    return _scanned(out, "s_suppkey")
+
+
+@query(
+    "scan_cells_range",
+    """
+    with asked as (
+      select s_suppkey, cast(s_suppkey * 7 as varchar) as lo, case when s_suppkey % 5 <> 0 then cast(s_suppkey * 7 + 1 as varchar) end as hi
+      from supplier where s_suppkey % 3 = 0)
+    select s_suppkey, cast(c_custkey as varchar) as key, c_name as name, c_mktsegment as segment, 'success' as route, null as reason,
+      row_number() over (partition by s_suppkey order by cast(c_custkey as varchar)) as fragment_index,
+      count(*) over (partition by s_suppkey) as fragment_count
+    from asked join customer on cast(c_custkey as varchar) >= lo and (hi is null or cast(c_custkey as varchar) < hi)
+    where hi is null or lo <= hi
+    union all
+    select s_suppkey, null, null, null, 'failure', 'the lower bound is above the upper', null, null from asked where lo > hi
+    """,
+)
+def scan_by_range(spark, sf_dir):
+    """Every third supplier scans from one key to another, in the order of text, some without an end."""
+    number = F.col("s_suppkey") * 7
+    end = F.when(F.col("s_suppkey") % 5 != 0, (number + 1).cast("string"))
+    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0").select(
+        "s_suppkey", number.cast("string").alias("lo"), end.alias("hi")
+    )
+    out = scan_cells_per_record(suppliers, customer_cells(spark, sf_dir), lower="lo", upper="hi", row_key_name="key", parts=16, hot_rows=50)
+    return _scanned(out, "s_suppkey")
+
+
+def _scanned(out, key: str):
+    cells = [F.try_element_at("attributes", F.lit(n)).alias(n) for n in ("name", "segment")]
+    return out.select(key, "key", *cells, "route", F.col("`scan.failure.reason`").alias("reason"), "fragment_index", "fragment_count")

@@ -124,3 +124,43 @@ def test_remove(spark, cells):
     assert as_set(change.cells) == set(CELLS[3:])
     assert {(r.row_key, r.existed) for r in change.results.collect()} == {("r1", True), ("r9", False)}
     assert kt_remove_all(cells).count() == 0
+
+
+def test_scans_per_record_equal_a_plain_version(spark):
+    import random
+
+    from rivulet.operators import scan_cells_per_record
+
+    rng = random.Random(5)
+    keys = ["".join(rng.choice("abé𝄞 ") for _ in range(rng.randint(0, 4))) for _ in range(150)]
+    cells = [(k, "f", q, f"{k}/{q}") for k in set(keys) for q in ("x", "y")[: 1 + len(k) % 2]]
+    table = spark.createDataFrame(cells, "row_key string, family string, qualifier string, value string")
+    asks = [(i, rng.choice([*keys, None]), rng.choice([*keys, None]), "clash") for i in range(60)] + [(99, "", None, "clash")] * 2
+    records = spark.createDataFrame(asks, "id int, a string, b string, attributes_ string")
+    byte = str.encode
+    for parts, hot_rows in ((1, 10**6), (7, 10**6), (64, 5)):
+        got = scan_cells_per_record(records, table, prefix="a", parts=parts, hot_rows=hot_rows).collect()
+        want = [(i, k) for i, a, _, _ in asks if a is not None for k in set(keys) if k.startswith(a)]
+        assert sorted((r.id, r.row_key) for r in got if r.route == "success") == sorted(want)
+        assert sorted(r.id for r in got if r.route == "failure") == sorted(i for i, a, _, _ in asks if a is None)
+        assert all(r["scan.failure.reason"] == r.failure_reason for r in got)
+        by_record = {}
+        for r in got:
+            if r.route == "success":
+                assert r.attributes == {q: v for k, _, q, v in cells if k == r.row_key}
+                by_record.setdefault(r.fragment_identifier, []).append(r)
+        for rows in by_record.values():
+            rows.sort(key=lambda r: r.fragment_index)
+            assert [r.fragment_index for r in rows] == list(range(1, len(rows) + 1)) and {r.fragment_count for r in rows} == {len(rows)}
+            assert [r.row_key for r in rows] == sorted((r.row_key for r in rows), key=byte)
+        got = scan_cells_per_record(records, table, lower="a", upper="b", parts=parts, hot_rows=hot_rows).collect()
+        crossed = [i for i, a, b, _ in asks if a is not None and b is not None and byte(a) > byte(b)]
+        want = [
+            (i, k) for i, a, b, _ in asks if i not in crossed for k in set(keys)
+            if (a is None or byte(k) >= byte(a)) and (b is None or byte(k) < byte(b))
+        ]
+        assert sorted((r.id, r.row_key) for r in got if r.route == "success") == sorted(want)
+        assert sorted(r.id for r in got if r.route == "failure") == sorted(crossed)
+    templated = scan_cells_per_record(records.filter("id = 1"), table, prefix="${a}", cell_filter=table["qualifier"] == "x").collect()
+    assert {r.row_key for r in templated} == {k for k in keys if k.startswith(asks[1][1] or "")}
+    assert not scan_cells_per_record(records, table.limit(0), prefix="a").filter("route = 'success'").collect()
