@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import DEFAULT_HOT_ROWS, OrderedGroups, Running
-from .routing import with_route
+from .routing import REASON, ROUTE, with_route
 
 # Fixed value: what a hold stores when no duplicate value is given.
 HOLDING = "!--holding--!"
@@ -47,6 +47,13 @@ def _finish(df: DataFrame) -> DataFrame:
     return out.drop(*[c for c in out.columns if c.startswith("_rv_")])
 
 
+def _failed(df: DataFrame) -> Column:
+    """Rows that failed before: they keep their route and reason and leave the state alone."""
+    if ROUTE not in df.columns or REASON not in df.columns:
+        return F.lit(False)
+    return F.coalesce(F.col(ROUTE) == "failure", F.lit(False))
+
+
 def check_state(
     df: DataFrame,
     key: str | Column,
@@ -68,7 +75,7 @@ def check_state(
     text = F.lit(None).cast("string") if value is None else F.nullif(_column(value).cast("string"), F.lit(""))
     if "content" in df.columns:
         text = F.coalesce(text, F.nullif(F.col("content"), F.lit("")))
-    work = df.withColumns({"_rv_key": _column(key).cast("string"), "_rv_value": text})
+    work = df.withColumns({"_rv_key": _column(key).cast("string"), "_rv_value": F.when(~_failed(df), text)})
     seeds = None
     if initial_state is not None:
         seeds = initial_state.select(
@@ -132,7 +139,7 @@ def hold_release(
     on the previous row alone, and the held value is that of the last hold that found it free.
     """
     dup = F.lit(None).cast("string") if dup_value is None else F.nullif(_column(dup_value).cast("string"), F.lit(""))
-    work = df.withColumns({"_rv_key": hold_key(topic, key), "_rv_op": _column(op), "_rv_dup": dup})
+    work = df.withColumns({"_rv_key": hold_key(topic, key), "_rv_op": F.when(~_failed(df), _column(op)), "_rv_dup": dup})
     seeds = None
     if initial_holds is not None:
         seeds = initial_holds.filter("value is not null").select(
@@ -205,7 +212,7 @@ def assign_sequence(
         work = work.withColumn("_rv_current", F.lit(None).cast("bigint"))
     work, order = _seeded(work, seeds, order_by)
     groups = OrderedGroups(work, ["_rv_key"], order, hot_rows)
-    is_row = F.when(F.col("_rv_row") == 1, F.lit(1))
+    is_row = F.when((F.col("_rv_row") == 1) & ~_failed(work), F.lit(1))
     running = [Running("_rv_before", "count", is_row)]
     step = F.lit(increment).cast("bigint")
     value = F.lit(start).cast("bigint") + step * F.col("_rv_before")
@@ -213,6 +220,7 @@ def assign_sequence(
         # Only the state row in front holds a number, so the greatest one so far is that one.
         running.append(Running("_rv_base", "max", F.col("_rv_current")))
         value = F.coalesce(F.col("_rv_base") + step * (F.col("_rv_before") + 1), value)
+    value = F.when(~_failed(work), value)
     groups.with_running(*running)
     counts = work.groupBy(F.col("_rv_key").alias("sequence")).agg(
         F.max("_rv_current").alias("_rv_current"), F.count(is_row).alias("_rv_rows")
@@ -221,6 +229,7 @@ def assign_sequence(
         F.col("_rv_current") + step * F.col("_rv_rows"),
         F.lit(start).cast("bigint") + step * (F.col("_rv_rows") - 1),
     )
+    counts = counts.filter((F.col("_rv_rows") > 0) | F.col("_rv_current").isNotNull())  # none of failed rows alone
     state = counts.select("sequence", current.alias("current"), (F.col("_rv_rows") > 0).alias("updated"))
     rows = with_route(groups.df.withColumn("_rv_out", value), "success").withColumn(into, F.col("_rv_out"))
     return Stateful(_finish(rows), state)

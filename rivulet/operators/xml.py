@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping, Sequence
+from xml.sax.saxutils import quoteattr
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import last_key_wins, path_exists, work_path, write_text
+from ..session import last_key_wins, path_exists, read_text, work_path, write_text
 from .routing import failing, with_route
 from .shape import added_names, empty_entries, one_row_per_record, renamed
 
@@ -71,30 +75,42 @@ def xml_extract(
     return failing(work.withColumns(values), reason).drop("_rv_xml", "_rv_ok", "_rv_found")
 
 
-def _records_udf(root: str, table: bool):
+def _records_udf(root: str, table: bool, record_tag: str | None):
     """Child elements of each record below ``root`` as name to text; null for text that is no XML.
 
-    Everything is defined inside, so that it travels to the workers by value.
+    Names are as written, prefixes included. Everything is defined inside, so that it travels to the workers by value.
     """
 
+    def found_in(document, above):
+        # a colon would mean a namespace to the path language, so names and paths have another character for it
+        path = root.replace(":", "\uf03a")
+        if path.startswith("/"):
+            above.append(document)
+            return above.findall("." + path)
+        return document.findall(path)
+
     def records(text: str | None) -> list[dict[str, str]] | None:
         import xml.etree.ElementTree as ET
+        from xml.parsers import expat
 
         if text is None:
             return None
+        build = ET.TreeBuilder()
+        parser = expat.ParserCreate()
+        parser.buffer_text = True
+        parser.StartElementHandler = lambda tag, attributes: build.start(tag.replace(":", "\uf03a"), attributes)
+        parser.EndElementHandler = lambda tag: build.end(tag.replace(":", "\uf03a"))
+        parser.CharacterDataHandler = build.data
         try:
-            document = ET.fromstring(text)
-        except ET.ParseError:
+            parser.Parse(text, True)
+        except expat.ExpatError:
             return None
-        if root.startswith("/"):
-            above = ET.Element("above")
-            above.append(document)
-            found = above.findall("." + root)
-        else:
-            found = document.findall(root)
+        found = found_in(build.close(), ET.Element("above"))
         if table:
             found = [child for parent in found for child in parent]
-        return [{field.tag: "".join(field.itertext()) for field in record} for record in found]
+        if record_tag:
+            found = [record for record in found if record.tag == record_tag.replace(":", "\uf03a")]
+        return [{field.tag.replace("\uf03a", ":"): "".join(field.itertext()) for field in record} for record in found]
 
     @F.arrow_udf("array<map<string,string>>")
     def parse(texts: pa.Array) -> pa.Array:
@@ -111,31 +127,10 @@ def _records_udf(root: str, table: bool):
         maps = pa.MapArray.from_arrays(record_ends, pa.array(names, pa.string()), pa.array(values, pa.string()))
         return pa.ListArray.from_arrays(pa.array(row_ends, pa.int32()), maps, mask=pa.array(bad, pa.bool_()))
 
-    return parse
-
+    import xml.etree.ElementTree as ET
 
-def _native_records(
-    source: Column, root: str, table: bool, fields: Sequence[str], record_tag: str | None
-) -> tuple[Column, Column]:
-    """(corrupt text, records) through Spark's own XML reader, for fields that are known.
-
-    Every step above the records must occur once.
-    """
-    steps = [step for step in root.split("/") if step]
-    inner = "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
-    below = steps[1:] + ([record_tag] if table else [])
-    schema = f"array<{inner}>" if below else inner
-    for name in reversed(below):
-        schema = f"struct<`{name}`:{schema}>"
-    flat = schema[len("struct<"):-1].replace(":", " ", 1) if below else ", ".join(f"`{n}` string" for n in fields)
-    parsed = F.from_xml(source, f"{flat}, _corrupt_record string")
-    found = [parsed]
-    for name in below:
-        found.append(found[-1][name])
-    if not below:
-        whole = F.struct(*[parsed[name].alias(name) for name in fields])
-        return parsed["_corrupt_record"], F.array(whole)
-    return parsed["_corrupt_record"], F.coalesce(found[-1], F.array().cast(f"array<{inner}>"))
+    found_in(ET.Element("none"), ET.Element("above"))  # a path that cannot be read fails here, not in the tasks
+    return parse
 
 
 def xml_to_columns(
@@ -155,27 +150,26 @@ def xml_to_columns(
     """Flatten XML records: one row per record, child element names with their text.
 
     ``table``: every child of ``root`` is a record, numbered as fragments. ``record``: each element matched
-    by ``root`` is a record. Names differ per row, so they come as a map column ``into``. When ``fields``
-    (and, for a table, ``record_tag``) are known, the parse stays in the JVM and gives ordinary columns.
-    Routes: ``success`` rows, the ``original`` row, ``failure`` for malformed text.
+    by ``root`` is a record. Names differ per row, so they come as a map column ``into``; names in ``fields`` come as
+    ordinary columns instead, null where a record has none of that name. ``record_tag`` takes the records of one name.
+    Names and ``root`` are as written in the text, prefixes included; of a name that comes twice in a record the last
+    stays. Routes: ``success`` rows, the ``original`` row, ``failure`` for malformed text, and for all rows if ``root``
+    cannot be read as a path.
     """
     if parse_type not in ("table", "record"):
         raise ValueError("parse_type must be table or record")
-    if fields and parse_type == "table" and not record_tag:
-        raise ValueError("fields of a table need record_tag")
     last_key_wins(df)
     rename = dict(rename or {})
     table = parse_type == "table"
-    if fields:
-        corrupt, records = _native_records(F.col(source), root, table, fields, record_tag)
-        fine = F.col(source).isNotNull() & corrupt.isNull()
-        work = df.withColumn("_rv_records", F.when(fine, records))
-    else:
-        work = df.withColumn("_rv_records", _records_udf(root, table)(F.col(source)))
+    try:
+        parse = _records_udf(root, table, record_tag)
+    except (SyntaxError, KeyError, ValueError, TypeError) as error:
+        return failing(df, F.lit(f"cannot read {root} as a path: {error}"))
+    work = df.withColumn("_rv_records", parse(F.col(source)))
 
     def build(record: Column) -> dict[str, Column]:
         if fields:
-            return {prefix + rename.get(name, name): record.getField(name) for name in fields}
+            return {prefix + rename.get(name, name): F.try_element_at(record, F.lit(name)) for name in fields}
         return {into: _named(record, rename, prefix, always_add)}
 
     work = work.withColumn("_rv_reason", F.when(F.col("_rv_records").isNull(), F.lit(BAD_XML)))
@@ -200,8 +194,8 @@ def validate_xml(
 ) -> DataFrame:
     """Validate against an XSD: ``success``, ``invalid`` (malformed text included) or ``failure``.
 
-    A path wins over text and may list several files, by comma or as a sequence; a row is valid when the
-    schema set taken together accepts it. Files must be reachable by the executors (a shared path).
+    A path wins over text and may list several files, by comma or as a sequence, of any target namespaces; a row is
+    valid when the schema set taken together accepts it. With a schema that cannot be read every row is ``invalid``. Files must be reachable by the executors (a shared path).
     """
     spark = df.sparkSession
     paths = xsd_path.split(",") if isinstance(xsd_path, str) else list(xsd_path or [])
@@ -216,8 +210,17 @@ def validate_xml(
         write_text(spark, path, xsd_text)
     else:
         raise ValueError("give xsd_path or xsd_text")
+    def parse(xml: Column) -> Column:
+        return F.from_xml(xml, "_rv_any string, _corrupt_record string", {"rowValidationXSDPath": path})
+
+    try:  # a schema that cannot be read would end the job in the tasks
+        spark.range(1).select(parse(F.concat(F.lit("<a/>"), F.col("id").cast("string")))).collect()
+    except (PySparkException, Py4JJavaError) as error:
+        said = str(error).split("\n")
+        told = next((line for line in said if "SAXParseException" in line), said[0])
+        return with_route(df, "invalid", F.lit(f"the schema cannot be read: {told.strip()}"))
     text = F.coalesce(F.col(source), F.lit(""))
-    parsed = F.from_xml(text, "_rv_any string, _corrupt_record string", {"rowValidationXSDPath": path})
+    parsed = parse(text)
     work = df.withColumn("_rv_bad", parsed["_corrupt_record"].isNotNull() | (F.trim(text) == ""))
     reason = F.when(F.col("_rv_bad"), F.lit("the XML does not satisfy the schema"))
     route = F.when(F.col("_rv_bad"), F.lit("invalid")).otherwise(F.lit("success"))
@@ -225,8 +228,23 @@ def validate_xml(
 
 
 def _wrapped(spark, paths: Sequence[str]) -> str:
-    """One schema that includes all of the given ones (none of them with a target namespace)."""
-    lines = "".join(f'<xs:include schemaLocation="{p}"/>' for p in paths)
-    path = os.path.join(work_path(spark, "xsd"), "schemas.xsd")
-    write_text(spark, path, f'<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">{lines}</xs:schema>')
-    return path
+    """One schema that holds all of the given ones: those of a target namespace are imported, the others included."""
+    folder = work_path(spark, "xsd")
+
+    def schema(name: str, head: str, lines: list[str]) -> str:
+        path = os.path.join(folder, name)
+        write_text(spark, path, f'<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"{head}>{"".join(lines)}</xs:schema>')
+        return path
+
+    by_namespace: dict[str, list[str]] = {}
+    for p in paths:
+        found = re.search(r"""<(?:[\w.-]+:)?schema\b[^>]*?\stargetNamespace\s*=\s*(?:"([^"]*)"|'([^']*)')""", read_text(spark, p))
+        by_namespace.setdefault(next((g for g in found.groups() if g), "") if found else "", []).append(p)
+    included = [f"<xs:include schemaLocation={quoteattr(p)}/>" for p in by_namespace.pop("", [])]
+    imported = []
+    for i, (namespace, files) in enumerate(by_namespace.items()):
+        # a namespace is imported from one place only, so several files of one meet in a schema of their own
+        each = [f"<xs:include schemaLocation={quoteattr(p)}/>" for p in files]
+        place = files[0] if len(files) == 1 else schema(f"namespace{i}.xsd", f" targetNamespace={quoteattr(namespace)}", each)
+        imported.append(f"<xs:import namespace={quoteattr(namespace)} schemaLocation={quoteattr(place)}/>")
+    return schema("schemas.xsd", "", included + imported)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -19,6 +21,7 @@ from ..operators import (
     xml_extract,
     xml_to_columns,
 )
+from ..session import work_path, write_text
 from .inputs import checked_xml, mixed_documents, order_arrays, order_documents, order_xml
 from .registry import query, spread, table
 
@@ -350,3 +353,63 @@ def scalar_functions(spark, sf_dir):
         X.render_template("part ${p_name}/${none}", part.columns).alias("rendered"),
         X.decode_content(X.encode_content(name)).alias("round_trip"),
     )
+
+
+_DIRTY_XML = """
+    select o_orderkey, case o_orderkey % 5 when 1 then 'failure' else 'success' end as route,
+      case o_orderkey % 5 when 0 then o_orderstatus when 2 then ' ' || o_orderstatus || ' ' when 4 then o_orderstatus || '&' end as status,
+      case o_orderkey % 5 when 4 then o_orderpriority end as priority
+    from orders where o_orderkey % 5 <> 3
+"""
+
+
+def dirty_xml(spark, sf_dir):
+    """By key: plain, text after the end, blanks around the value, another root, prefixed and nested names with an escape."""
+    status, kind = F.col("o_orderstatus"), F.col("o_orderkey") % 5
+    plain = F.concat(F.lit("<o><line><status>"), status, F.lit("</status></line></o>"))
+    text = (
+        F.when(kind == 0, plain).when(kind == 1, F.concat(plain, F.lit("junk")))
+        .when(kind == 2, F.concat(F.lit("<o><line><status> "), status, F.lit(" </status></line><note/></o>")))
+        .when(kind == 3, F.concat(F.lit("<other><line><status>"), status, F.lit("</status></line></other>")))
+        .otherwise(F.concat(
+            F.lit('<o xmlns:n="urn:n"><line><status><b>'), status, F.lit("</b>&amp;</status><n:priority>"), F.col("o_orderpriority"),
+            F.lit("</n:priority></line></o>"),
+        ))
+    )
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", text.alias("content"))
+
+
+@query("xml_to_columns_dirty", _DIRTY_XML)
+def xml_dirty(spark, sf_dir):
+    out = xml_to_columns(dirty_xml(spark, sf_dir), "/o", fields=["status", "n:priority"], record_tag="line", emit_original=False)
+    return out.select("o_orderkey", "route", "status", F.col("`n:priority`").alias("priority"))
+
+
+@query("xml_to_columns_dirty_map", _DIRTY_XML)
+def xml_dirty_map(spark, sf_dir):
+    """The same documents without naming the fields."""
+    out = xml_to_columns(dirty_xml(spark, sf_dir), "/o", record_tag="line", emit_original=False)
+    named = {"status": "status", "priority": "n:priority"}
+    return out.select("o_orderkey", "route", *[F.try_element_at("attributes", F.lit(n)).alias(c) for c, n in named.items()])
+
+
+@query(
+    "validate_xml_namespaces",
+    "select o_orderkey, case when o_orderkey % 4 = 3 then 'invalid' else 'success' end as route from orders",
+)
+def check_xml_of_namespaces(spark, sf_dir):
+    """A set of schemas, two of one namespace and one without any; a root of none of them is invalid."""
+    paths = []
+    for name, target in (("a", "urn:a"), ("b", "urn:a"), ("c", "")):
+        head = f' targetNamespace="{target}"' if target else ""
+        paths.append(os.path.join(work_path(spark, "xsd"), f"{name}.xsd"))
+        write_text(
+            spark, paths[-1],
+            f'<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"{head}><xs:element name="{name}" type="xs:integer"/></xs:schema>',
+        )
+    kind = F.col("o_orderkey") % 4
+    tag = F.when(kind == 0, F.lit("a")).when(kind == 1, F.lit("b")).otherwise(F.lit("c"))
+    space = F.when(kind == 2, F.lit("")).otherwise(F.lit(' xmlns="urn:a"'))
+    text = F.concat(F.lit("<"), tag, space, F.lit(">"), F.col("o_orderkey").cast("string"), F.lit("</"), tag, F.lit(">"))
+    orders = spread(table(spark, sf_dir, "orders")).select("o_orderkey", text.alias("content"))
+    return validate_xml(orders, xsd_path=paths).select("o_orderkey", "route")

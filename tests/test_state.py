@@ -175,3 +175,27 @@ def test_unknown_gate_operations_fail_and_change_nothing(spark):
     df = spark.createDataFrame([(1, "hold"), (2, "hodl"), (3, None), (4, "release")], "ord int, op string").withColumn("k", F.lit("a"))
     done = hold_release(df, F.lit("t"), F.col("k"), F.col("op"), ["ord"])
     assert [r.route for r in done.rows.orderBy("ord").collect()] == ["success", "failure", "failure", "success"]
+
+
+def test_rows_that_failed_before_leave_the_state_alone(spark):
+    from rivulet.operators import assign_sequence, check_state, hold_release
+
+    rows = [(1, "k", "hold", "9", "failure", "bad"), (2, "k", "hold", "3", "success", None), (3, "k", "hold", "5", None, None),
+            (4, "k", "release", "1", "failure", "bad"), (5, "k", "release", "4", "success", None), (6, "z", "hold", "1", "failure", "bad")]
+    df = spark.createDataFrame(rows, "ord int, k string, op string, v string, route string, failure_reason string")
+    gate = hold_release(df, F.lit("t"), "k", "op", ["ord"])
+    assert {r.ord: r.route for r in gate.rows.collect()} == {1: "failure", 2: "success", 3: "busy", 4: "failure", 5: "success", 6: "failure"}
+    for hot_rows in (1_000_000, 1):
+        checked = check_state(df, "k", "v", ["ord"], prev_col="prev", hot_rows=hot_rows)
+        assert {r.ord: (r.route, r.prev) for r in checked.rows.collect()} == {
+            1: ("failure", None), 2: ("initial", None), 3: ("greater", "3"), 4: ("failure", None), 5: ("less", "5"), 6: ("failure", None)
+        }
+        assert {r.key: r.value for r in checked.state.collect()} == {"k": "5"}
+        counters = spark.createDataFrame([("k", 10)], "sequence string, current long")
+        for given, first in ((None, 1), (counters, 11)):
+            numbered = assign_sequence(df, "k", given, ["ord"], hot_rows=hot_rows)
+            assert {r.ord: (r.route, r.sequence_value) for r in numbered.rows.collect()} == {
+                1: ("failure", None), 2: ("success", first), 3: ("success", first + 1), 4: ("failure", None),
+                5: ("success", first + 2), 6: ("failure", None),
+            }
+            assert {r.sequence: r.current for r in numbered.state.collect()} == {"k": first + 2}

@@ -82,3 +82,58 @@ def test_xml_extract_of_more_than_one_document(spark):
     rows = {r.id: (r.route, r.v) for r in xml_extract(df, {"v": "/a"}).collect()}
     good = {3: "2", 4: "3"}
     assert rows == {i: ("success", good[i]) if i in good else ("failure", None) for i in range(9)}
+
+
+DIRTY = [
+    "<a><p><n> 1 </n></p></a>", "<a><p><n>1</n></p></a>junk", "<zzz><p><n>1</n></p></zzz>",
+    '<a xmlns:n="urn:x"><p><n:x>v</n:x><n>1</n></p></a>', "<a><p><n>q<x>z</x>r</n></p><q><n>other</n></q></a>",
+    "<a><p><n>1</n><n>2</n></p></a>", '<a><p n="att"/></a>', "<a><p><n/></p></a>", "<a>", "<a/><a/>", "", None,
+    "<a><p><n>&lt;&#233;<![CDATA[<c>]]></n></p></a>", '<a xmlns="urn:d"><p><n>default</n></p></a>',
+]
+
+
+def test_fields_and_map_agree_on_every_document(spark):
+    df = contents(spark, *DIRTY)
+    for root, parse in (("/a", "table"), ("/a/p", "record"), ("/*", "table"), ("//p", "record")):
+        slow = xml_to_columns(df, root, parse, record_tag="p").collect()
+        fast = xml_to_columns(df, root, parse, fields=["n", "n:x"], record_tag="p").collect()
+        a = [(r.id, r.route, r.fragment_index, (r.attributes or {}).get("n"), (r.attributes or {}).get("n:x")) for r in slow]
+        b = [(r.id, r.route, r.fragment_index, r.n, r["n:x"]) for r in fast]
+        assert sorted(a, key=repr) == sorted(b, key=repr)
+    got = {r.id: (r.route, r.n, r["n:x"]) for r in xml_to_columns(df, "/a", fields=["n", "n:x"], record_tag="p", emit_original=False).collect()}
+    assert got[0] == ("success", " 1 ", None) and got[3] == ("success", "1", "v") and got[4] == ("success", "qzr", None)
+    assert got[5] == ("success", "2", None) and got[6] == ("success", None, None) and got[7] == ("success", "", None)
+    assert got[12] == ("success", "<é<c>", None) and got[13] == ("success", "default", None) and 2 not in got
+    assert all(got[i][0] == "failure" for i in (1, 8, 9, 10, 11))
+    assert xml_to_columns(df.filter("id = 3"), "/a/p/n:x", "record").filter("route = 'success'").count() == 1
+
+
+def test_a_path_that_cannot_be_read_fails_every_row(spark):
+    for root in ("/a[position()<2]", "/a[", "/a::b"):
+        rows = xml_to_columns(contents(spark, *DIRTY), root).collect()
+        assert len(rows) == len(DIRTY)
+        assert all(r.route == "failure" for r in rows) or root == "/a::b"
+
+
+def test_schemas_of_several_namespaces(spark, tmp_path):
+    def xsd(name, target, root):
+        path = tmp_path / name
+        ns = f' targetNamespace="{target}" elementFormDefault="qualified"' if target else ""
+        path.write_text(f'<?xml version="1.0"?><xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"{ns}><xs:element name="{root}" type="xs:integer"/></xs:schema>')
+        return str(path)
+
+    files = [xsd("a.xsd", "urn:a", "one"), xsd("a2.xsd", "urn:a", "two"), xsd("b.xsd", "urn:b", "one"), xsd("none.xsd", "", "one"), xsd("none2.xsd", "", "three")]
+    df = contents(
+        spark, '<one xmlns="urn:a">1</one>', '<x:two xmlns:x="urn:a">2</x:two>', '<one xmlns="urn:b">3</one>', "<one>4</one>",
+        "<three>5</three>", '<two xmlns="urn:b">6</two>', "<two>7</two>", '<one xmlns="urn:a">x</one>',
+    )
+    routes = {r.id: r.route for r in validate_xml(df, xsd_path=files).collect()}
+    assert routes == {i: "success" if i < 5 else "invalid" for i in range(8)}
+    assert {r.id: r.route for r in validate_xml(df, xsd_path=files[0]).collect()}[0] == "success"
+
+
+def test_a_broken_schema_makes_every_row_invalid(spark, tmp_path):
+    df = contents(spark, "<p/>", None)
+    for text in ("<xs:schema", "no schema", XSD.replace("xs:string", "xs:nothing")):
+        rows = validate_xml(df, xsd_text=text).collect()
+        assert [r.route for r in rows] == ["invalid"] * 2 and all("schema cannot be read" in r.failure_reason for r in rows)
