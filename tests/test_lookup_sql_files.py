@@ -289,3 +289,33 @@ def test_a_spec_per_row(spark):
     assert rows[9].route == "success" and rows[9].attributes == {} and rows[9].content == "body"
     bare = enrich_each(df.drop("content"), "spec").collect()
     assert {r.id: r.failure_reason for r in bare}[1] == "c: there is no cache to look in"
+
+
+def test_a_broken_file_fails_alone(spark, tmp_path):
+    text = "one\ntwo é\n" * 5000
+    packed = gzip.compress(text.encode())
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "good.txt.gz").write_bytes(packed)
+    (d / "cut.txt.gz").write_bytes(packed[:-20])
+    (d / "not.txt.gz").write_bytes(b"plain text")
+    (d / "cut.txt.zst").write_bytes(b"\x28\xb5\x2f\xfd")
+    (d / "bytes.txt").write_bytes(b"a\xffb")
+    dirs = spark.createDataFrame([(str(d),)], "directory string")
+    rows = {r.filename + r.source_file[-3:]: r for r in ingest_files(spark, dirs, emit_original=False).collect()}
+    assert len(rows) == 5
+    assert rows["good.txt.gz"].route == "success" and rows["good.txt.gz"].content == text
+    assert rows["bytes.txttxt"].content == "a\ufffdb"
+    for name in ("cut.txt.gz", "not.txt.gz", "cut.txtzst"):
+        assert rows[name].route == "failure" and rows[name].content is None and "cannot read" in rows[name].failure_reason
+    raw = ingest_files(spark, dirs, as_binary=True, emit_original=False, regex="cut.*gz").first()
+    assert raw.route == "success" and bytes(raw.content) == packed[:-20]
+
+
+@pytest.mark.parametrize("codec", ["gzip", "bzip2", "deflate", "snappy", "lz4"])
+def test_every_codec_is_undone(spark, tmp_path, codec):
+    lines = [f"line {i} é " + "x" * (i % 50) for i in range(30_000)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.option("compression", codec).text(str(tmp_path / "out"))
+    dirs = spark.createDataFrame([(str(tmp_path / "out"),)], "directory string")
+    row = ingest_files(spark, dirs, regex="part.*", emit_original=False).first()
+    assert row.route == "success" and row.content.splitlines() == lines and row.filename.endswith(".txt")
