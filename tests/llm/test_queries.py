@@ -21,6 +21,15 @@ def test_every_operator_has_a_query_over_all_documents(spark, sf_dir):
         assert QUERIES[n](spark, sf_dir).count() == rows
 
 
+def test_personal_data_counts_follow_the_spans(spark, tmp_path):
+    texts = ["a@b.c d@e.f 1.2.3.4", "none", None, "+12345678 4111111111111111 4111 1111 1111 1111 g@h.i"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op2_personal_data"](spark, str(tmp_path)).collect()
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in found}
+    assert got == {0: (2, 1, 0, 0), 1: (0, 0, 0, 0), 2: (0, 0, 0, 0), 3: (1, 0, 2, 1)}
+
+
 def test_pipeline_stages_keep_columns_and_decide(spark, sf_dir):
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
     columns, kept = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
