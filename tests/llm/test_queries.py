@@ -22,7 +22,7 @@ def test_every_operator_has_a_query_over_all_documents(spark, sf_dir):
 
 
 def test_personal_data_counts_follow_the_spans(spark, tmp_path):
-    texts = ["a@b.c d@e.f 1.2.3.4", "none", None, "+12345678 4111111111111111 4111 1111 1111 1111 g@h.i"]
+    texts = ["a@b.c d@e.f 1.2.3.4", "none", None, "+12345678, 4111111111111111, 4111 1111 1111 1111 g@h.i"]
     rows = [(i, t) for i, t in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     found = QUERIES["op2_personal_data"](spark, str(tmp_path)).collect()

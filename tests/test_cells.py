@@ -164,3 +164,19 @@ def test_scans_per_record_equal_a_plain_version(spark):
     templated = scan_cells_per_record(records.filter("id = 1"), table, prefix="${a}", cell_filter=table["qualifier"] == "x").collect()
     assert {r.row_key for r in templated} == {k for k in keys if k.startswith(asks[1][1] or "")}
     assert not scan_cells_per_record(records, table.limit(0), prefix="a").filter("route = 'success'").collect()
+
+
+def test_scans_per_record_store_no_matches(spark):
+    import os
+
+    from rivulet.operators import scan_cells_per_record
+    from rivulet.session import shared_folder
+
+    cells = spark.range(2000).selectExpr("cast(id as string) row_key", "'f' family", "'q' qualifier", "'v' value")
+    records = spark.range(100).selectExpr("id", "cast(null as string) hi", "'1' lo")
+    folder = os.path.join(shared_folder(spark), "rivulet")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = scan_cells_per_record(records, cells, lower="lo", upper="hi", hot_rows=50)
+    assert found.count() == 100 * 1999 == found.filter("fragment_count = 1999 and fragment_index between 1 and 1999").count()
+    stored = sum(spark.read.parquet(os.path.join(folder, f)).count() for f in set(os.listdir(folder)) - before)
+    assert stored <= 3 * (2000 + 100)
