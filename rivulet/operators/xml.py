@@ -28,17 +28,23 @@ PROLOG = (
 )
 
 
+#: A text that begins with the only start tag of a name and ends with an end tag of it: one element, if it parses.
+ONE_ELEMENT = r"(?s)^[ \t\r\n]*<([A-Za-z_][A-Za-z0-9_:.-]*)(?=[ \t\r\n>])(?!.*<\1[ \t\r\n/>]).*</\1[ \t\r\n]*>[ \t\r\n]*$"
+
+
 def well_formed(xml: Column) -> Column:
     """Whether the whole text is one XML document (false for null).
 
     Spark's parser stops at the end of the root, so the text without its prolog is parsed inside an element whose name
-    the text cannot hold; that must then have one element and no loose text.
+    the text cannot hold; that must then have one element and no loose text. Where the names of its ends show that, the
+    text is not parsed again to find out.
     """
     name = F.concat(F.lit("r"), F.md5(xml))
-    inside = F.concat(F.lit("<"), name, F.lit(">"), F.regexp_replace(xml, PROLOG, ""), F.lit("</"), name, F.lit(">"))
+    body = F.regexp_replace(xml, PROLOG, "")
+    inside = F.concat(F.lit("<"), name, F.lit(">"), body, F.lit("</"), name, F.lit(">"))
     parses = F.from_xml(inside, "_corrupt_record string")["_corrupt_record"].isNull()
     alone = F.xpath_boolean(inside, F.lit("count(/*/*) = 1 and not(/*/text()[normalize-space()])"))
-    return xml.isNotNull() & F.when(parses, alone).otherwise(False)
+    return xml.isNotNull() & F.when(parses, F.when(body.rlike(ONE_ELEMENT), True).otherwise(alone)).otherwise(False)
 
 
 def xml_extract(

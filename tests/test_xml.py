@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from rivulet.operators import validate_xml, xml_extract, xml_to_columns
 
@@ -137,3 +138,30 @@ def test_a_broken_schema_makes_every_row_invalid(spark, tmp_path):
     for text in ("<xs:schema", "no schema", XSD.replace("xs:string", "xs:nothing")):
         rows = validate_xml(df, xsd_text=text).collect()
         assert [r.route for r in rows] == ["invalid"] * 2 and all("schema cannot be read" in r.failure_reason for r in rows)
+
+
+def test_texts_of_one_element_are_told_from_others(spark):
+    from xml.parsers import expat
+
+    from rivulet.operators.xml import ONE_ELEMENT, well_formed
+
+    def plain(text):
+        try:
+            expat.ParserCreate().Parse(text, True)
+        except expat.ExpatError:
+            return False
+        return True
+
+    ends = ["<a>", "</a>", "<a/>", "<b>", "</b>", "<ab>", "</ab>", "x", " ", "<!--<a>-->", "<!--</a>", "-->", "<![CDATA[</a>", "]]>", "<a k='<'>", "</a >"]
+    texts = [x + y + z for x in ends for y in ends for z in ["", *ends]] + ["<a>" * n + "</a>" * m for n in range(4) for m in range(4)]
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = table.select("t", well_formed(F.col("t")).alias("ok"), F.col("t").rlike(ONE_ELEMENT).alias("short")).collect()
+    assert {r.t: r.ok for r in got} == {t: plain(t) for t in texts}
+    assert any(r.ok and r.short for r in got) and any(r.ok and not r.short for r in got)
+
+
+def test_tasks_that_parse_are_bounded_in_rows(spark):
+    from rivulet.plans.registry import TASK_ROWS, spread
+
+    rows = spread(spark.range(0, 12 * TASK_ROWS, 1, 4)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(rows) == 12 and max(r["count"] for r in rows) <= 1.1 * TASK_ROWS
