@@ -117,6 +117,18 @@ def test_disclosing_terms_are_found_by_their_disclosure(spark):
     assert all("zorblax" not in shown[i] and "[EMAIL]" in shown[i] and "the" in shown[i].split() for i, _ in telling)
 
 
+@pytest.mark.parametrize("nearest, far", [(8, False), (None, True)])
+def test_terms_are_found_beyond_long_words_and_other_matches(spark, nearest, far):
+    common = [(i, f"the plain text number n{i} of the lot") for i in range(40)]
+    telling = [(100 + i, f"quarz {'of the lot ' * 3}zorblax {'x' * 130}{i} by a@b.example.com, c@d.example.com, {'y' * 150}{i} vorpal") for i in range(5)]
+    found = pii.find_personal_data(spark.createDataFrame(common + telling, "doc_id long, text string"), nearest=nearest).collect()
+    texts = dict(common + telling)
+    shown = {r.doc_id: {texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind >= 4} for r in found}
+    for i, _ in telling:
+        assert {"zorblax", "vorpal"} <= shown[i] and ("quarz" in shown[i]) == far
+    assert not any(shown[i] for i, _ in common)
+
+
 def test_pieces_equal_the_library(docs, nothing):
     path = public_tokenizers.path("piece_bpe_32k.model")
     model = pieces.piece_model(path)
