@@ -332,6 +332,20 @@ def test_suffix_tree(docs, nothing, spark):
     assert suffix_tree.score_texts(nothing).count() == 0
 
 
+def test_suffix_tree_reads_the_texts_twice(docs, spark):
+    """For the word counts and for the places of words; all else works on the stored places."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted_rows(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    given = docs.select("doc_id", "text")
+    assert len(suffix_tree.score_texts(given.mapInArrow(counted_rows, given.schema)).collect()) == len(rows())
+    assert read.value == 2 * len(rows())
+
+
 def test_suffix_tree_is_a_distribution(spark):
     """Next-word probabilities of every state, unknown words included, sum to one."""
     text = "a b a b a c a b"
