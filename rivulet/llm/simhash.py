@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import discard, written
 from .common import in_arrow, slices, words_of
 
 BITS = 64
@@ -219,8 +219,8 @@ def near_links(distinct: DataFrame, radius: int = 2) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``node, root``: for every node of the undirected ``links`` (a, b) the least node of its component.
 
-    Each round stores its edges in the shared folder, so lineage stays short; the stored table of the last round is
-    what the result reads.
+    Each round stores its edges in the shared folder, so lineage stays short, and deletes those of the round before; the
+    stored table of the last round is what the result reads.
     """
     edges = written(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
     state = None
@@ -233,7 +233,8 @@ def components(links: DataFrame) -> DataFrame:
         small = small.filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(
             least.select("hi", F.col("m").alias("lo"))
         )
-        edges = written(small.distinct(), "edges")
+        before, edges = edges, written(small.distinct(), "edges")
+        discard(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == state:
             break
