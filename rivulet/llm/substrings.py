@@ -14,7 +14,6 @@ Documents are ordered by id (null first), then by the hash of the text; rows tha
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,33 +23,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, in_arrow, mixed, rolled, slices, words_of
+from .common import (
+    BLOCK, MOST_CELLS, ROWS, WordHashes, has_bits, in_arrow, mixed, rolled, sketch_cells, sketched, slices, words_of,
+)
 
 #: The least id stands for null.
 NULL_ID = -(1 << 63)
-#: Rows of the sketch, the most cells of a row (as a power of two: 16 MiB for each row) and cells of a block.
-ROWS, MOST_CELLS, BLOCK = 2, 27, 20
 #: Characters of text for each bucket of the exact pass.
 BUCKET_CHARS = 4_000_000
 
 
-def _cells(windows: np.ndarray, row: int, power: int) -> np.ndarray:
-    keys = windows if row == 0 else mixed(windows ^ np.uint64(0xA0761D6478BD642F))
-    return (keys >> np.uint64(64 - power)).astype(np.int64)
-
-
-def _set_bits(bits: np.ndarray, cells: np.ndarray) -> None:
-    """Set the bits of sorted distinct cells."""
-    if len(cells):
-        at = cells >> 3
-        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        bits[at[starts]] |= np.bitwise_or.reduceat((1 << (cells & 7)).astype(np.uint8), starts)
-
-
-def _has_bits(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    return (bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 > 0
-
-
 class _Windows:
     """Words of a batch of texts as hashes, and all windows that lie within one text, with their anchors."""
 
@@ -75,43 +57,13 @@ class _Windows:
 def window_sketch(docs: DataFrame, window: int, power: int) -> bytes:
     """The merged sketch's cells that count two or more, as bits, row after row: ROWS * 2**power / 8 bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         hashes = WordHashes()
-        once = np.zeros((ROWS, 1 << power - 3), np.uint8)
-        twice = np.zeros_like(once)
-        any_rows = False
         for batch in slices(batches, "text"):
             w = _Windows(batch.column("text").to_pylist(), hashes, window)
-            keys = w.runs[np.unique(w.anchors_at)]
-            any_rows = any_rows or len(keys) > 0
-            for r in range(ROWS):
-                cells, n = np.unique(_cells(keys, r, power), return_counts=True)
-                _set_bits(twice[r], cells[(n > 1) | _has_bits(once[r], cells)])
-                _set_bits(once[r], cells)
-        if any_rows:
-            for r in range(ROWS):
-                for at in range(0, 1 << power - 3, 1 << BLOCK - 3):
-                    part, more = once[r, at : at + (1 << BLOCK - 3)], twice[r, at : at + (1 << BLOCK - 3)]
-                    if part.any():
-                        yield {
-                            "block": [r << power - 3 | at], "once": [zlib.compress(part.tobytes(), 1)],
-                            "twice": [zlib.compress(more.tobytes(), 1)],
-                        }
-
-    parts = in_arrow(docs, run, "block long, once binary, twice binary")
-
-    def merged(table: pd.DataFrame) -> pd.DataFrame:
-        once = twice = None
-        for a, b in zip(table["once"], table["twice"]):
-            a, b = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (a, b))
-            once, twice = (a, b) if once is None else (once | a, twice | b | (once & a))
-        return pd.DataFrame({"block": table["block"][:1], "bits": [zlib.compress(twice.tobytes(), 1)]})
-
-    out = np.zeros(ROWS << power - 3, np.uint8)
-    for block, bits in parts.groupBy("block").applyInPandas(merged, "block long, bits binary").collect():
-        bits = np.frombuffer(zlib.decompress(bits), np.uint8)
-        out[block : block + len(bits)] = bits
-    return out.tobytes()
+            yield w.runs[np.unique(w.anchors_at)]
+
+    return sketched(docs, keys, power)
 
 
 def _text_key(text: Column) -> Column:
@@ -140,7 +92,7 @@ def repeated_ranges(docs: DataFrame, window: int = 20) -> DataFrame:
             anchors = w.runs[w.anchors_at]
             maybe = np.ones(len(anchors), bool)
             for r in range(ROWS):
-                maybe[maybe] = _has_bits(bits[r], _cells(anchors[maybe], r, power))
+                maybe[maybe] = has_bits(bits[r], sketch_cells(anchors[maybe], r, power))
             if not maybe.any():
                 continue
             # the documents in their order, and what identifies a window
