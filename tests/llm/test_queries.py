@@ -30,6 +30,18 @@ def test_personal_data_counts_follow_the_spans(spark, tmp_path):
     assert got == {0: (2, 1, 0, 0), 1: (0, 0, 0, 0), 2: (0, 0, 0, 0), 3: (1, 0, 2, 1)}
 
 
+def test_terms_disclose_from_anywhere_in_the_text(spark, tmp_path):
+    common = [(i, f"the plain text number n{i} of the lot") for i in range(40)]
+    telling = [(100 + i, "zorblax " + "of the lot " * 9 + f"number n{i} by a@b.example.com") for i in range(5)]
+    docs = spark.createDataFrame([(d, t, len(t)) for d, t in common + telling], "doc_id long, text string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spans = {r.doc_id: r.spans for r in QUERIES["op2_personal_data"](spark, str(tmp_path)).collect()}
+    masked = {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
+    for i, t in telling:
+        assert "removed:0:7" in spans[i].split(",") and "zorblax" not in masked[i] and "[EMAIL]" in masked[i]
+    assert all(spans[i] == "" and masked[i] == t for i, t in common)
+
+
 def test_pipeline_stages_keep_columns_and_decide(spark, sf_dir):
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
     columns, kept = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
